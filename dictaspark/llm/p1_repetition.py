@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from dictaspark.session import ship
 
 N = 4
-BUCKETS = 256
+BUCKETS = 64
 SHARE = 0.4
 _WORD = re.compile(r"[^\W_]+")
 
@@ -38,18 +37,16 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def runs(words: list[str]) -> tuple[list[int], list[int]]:
-    """Feature of each run of four words, and the places of runs that stood earlier."""
+def runs(words: list[str]) -> list[int]:
+    """Places of runs of four words that stood at an earlier place."""
     seen: set[str] = set()
-    features, again = [], []
+    again = []
     for k, run in enumerate(map(" ".join, zip(words, words[1:], words[2:], words[3:]))):
         if run in seen:
             again.append(k)
-            features.append(BUCKETS + crc32(run.encode()) % BUCKETS)
         else:
             seen.add(run)
-            features.append(crc32(run.encode()) % BUCKETS)
-    return features, again
+    return again
 
 
 def repeated_words(places: list[int]) -> int:
@@ -61,14 +58,34 @@ def repeated_words(places: list[int]) -> int:
     return covered
 
 
+def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of each text, text of each run, feature of each run), runs in order.
+
+    A run's feature is its bucket, plus BUCKETS when the run stood earlier in its text.
+    """
+    found = [_WORD.findall(t.lower()) if t else [] for t in texts]
+    length = np.array([len(w) for w in found], dtype=np.int64)
+    flat = np.array([w for ws in found for w in ws], dtype=object)
+    if len(flat) < N:
+        return length, np.empty(0, np.int64), np.empty(0, np.int64)
+    codes, names = pd.factorize(flat)
+    word = pd.util.hash_array(names, categorize=False)[codes]
+    doc = np.repeat(np.arange(len(texts)), length)
+    key = word[: -N + 1].copy()
+    for k in range(1, N):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + word[k : len(word) - N + 1 + k]
+    whole = doc[: -N + 1] == doc[N - 1 :]
+    key, doc = key[whole], doc[: -N + 1][whole]
+    bucket = ((key >> np.uint64(33)) % np.uint64(BUCKETS)).astype(np.int64)
+    again = pd.Series(key ^ (doc.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))).duplicated().to_numpy()
+    return length, doc, bucket + BUCKETS * again
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     raw, target = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * BUCKETS, np.int64)
     for pdf in batches:
         for column, counts in (("raw", raw), ("target", target)):
-            flat: list[int] = []
-            for text in pdf[column]:
-                flat += runs(words_of(text))[0]
-            counts += np.bincount(np.array(flat, np.int64), minlength=2 * BUCKETS)
+            counts += np.bincount(features(pdf[column].tolist())[2], minlength=2 * BUCKETS)
     yield pd.DataFrame({"feature": np.arange(2 * BUCKETS), "raw": raw, "target": target})
 
 
@@ -95,18 +112,18 @@ def bound(ratio: np.ndarray, share: float) -> float:
 
 def _score(ratio: np.ndarray, least: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = ratio.tolist()
         for pdf in batches:
-            out = []
-            for row_id, text in zip(pdf["row_id"], pdf["raw"]):
-                words = words_of(text)
-                features, again = runs(words)
-                score = sum([table[f] for f in features]) / len(features) if features else 0.0
-                share = 0.0
-                if again and score >= least:
-                    share = repeated_words(again) / len(words)
-                out.append((row_id, len(words), score, bool(score >= least), share))
-            yield pd.DataFrame(out, columns=["row_id", "words", "score", "candidate", "share"])
+            texts = pdf["raw"].tolist()
+            length, doc, feature = features(texts)
+            count = np.bincount(doc, minlength=len(texts))
+            score = np.bincount(doc, ratio[feature], len(texts)) / np.maximum(count, 1)
+            candidate = (score >= least) & (count > 0)
+            share = np.zeros(len(texts))
+            again = np.bincount(doc, feature >= BUCKETS, len(texts)) > 0
+            for k in np.flatnonzero(candidate & again):
+                words = words_of(texts[k])
+                share[k] = repeated_words(runs(words)) / len(words)
+            yield pd.DataFrame({"row_id": pdf["row_id"], "words": length, "score": score, "candidate": candidate, "share": share})
 
     return run
 

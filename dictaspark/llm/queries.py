@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictaspark.llm import p1_repetition, p2_packing, p3_duplicates, p6_splits
+from dictaspark.llm import p1_repetition, p2_packing, p3_duplicates, p4_personal, p6_splits
 from dictaspark.session import table
 
 
@@ -40,6 +40,14 @@ def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_duplicates.distinct_records(coded).select("first_id", "copies")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_personal.found(table(spark, sf_dir, "contribs"), table(spark, sf_dir, "name_list"))
+
+
+def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_personal.redacted(table(spark, sf_dir, "contribs"), table(spark, sf_dir, "name_list"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_splits.tied_handles(p6_splits.assign(table(spark, sf_dir, "contribs"))[1])
 
@@ -53,6 +61,7 @@ def queries() -> dict:
         "p1_found": p1_found, "p1_shares": p1_shares,
         "p2_found": p2_found, "p2_requests": p2_requests, "p2_fills": p2_fills,
         "p3_found": p3_found, "p3_records": p3_records,
+        "p4_found": p4_found, "p4_redacted": p4_redacted,
         "p6_found": p6_found, "p6_splits": p6_splits_by_row,
     }
 
