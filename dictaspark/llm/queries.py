@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictaspark.llm import p1_repetition, p2_packing, p3_duplicates, p4_personal, p6_splits
+from dictaspark.llm import p1_repetition, p2_packing, p3_duplicates, p4_personal, p5_pairs, p6_splits, p7_leaks, p8_mixing, p9_abuse
 from dictaspark.session import table
 
 
@@ -48,6 +48,14 @@ def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p4_personal.redacted(table(spark, sf_dir, "contribs"), table(spark, sf_dir, "name_list"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_pairs.tagged(table(spark, sf_dir, "contribs")).filter("defect is not null").select("row_id", "defect")
+
+
+def p5_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_pairs.tagged(table(spark, sf_dir, "contribs"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_splits.tied_handles(p6_splits.assign(table(spark, sf_dir, "contribs"))[1])
 
@@ -56,13 +64,55 @@ def p6_splits_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_splits.assign(table(spark, sf_dir, "contribs"))[0].select("row_id", "split")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).filter("verbatim").select("doc_id", "item_id")
+
+
+def p7_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), measure=True)
+
+
+def _sized(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, sf_dir, "mix_targets")
+    return p8_mixing.sized(table(spark, sf_dir, "documents"), targets), targets
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_mixing.shortfalls(*_sized(spark, sf_dir))
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_mixing.mixture(*_sized(spark, sf_dir))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_mixing.shares(*_sized(spark, sf_dir))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = p9_abuse.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels"))
+    return scores.filter(F.col("score") >= p9_abuse.CUT).select("doc_id")
+
+
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_abuse.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels"))
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_abuse.rates(p9_abuse.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels")))
+
+
 def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_shares": p1_shares,
         "p2_found": p2_found, "p2_requests": p2_requests, "p2_fills": p2_fills,
         "p3_found": p3_found, "p3_records": p3_records,
         "p4_found": p4_found, "p4_redacted": p4_redacted,
+        "p5_found": p5_found, "p5_tags": p5_tags,
         "p6_found": p6_found, "p6_splits": p6_splits_by_row,
+        "p7_found": p7_found, "p7_candidates": p7_candidates,
+        "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares,
+        "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates,
     }
 
 
