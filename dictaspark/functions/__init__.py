@@ -1 +1 @@
-
+"""Column functions: text, personal data and statistics."""
