@@ -12,6 +12,11 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUYY"
 CONTROL = r"^\[Styling: (casual|semi-casual|semi-formal|formal)\] \[Structure: (prose|lists)\] \[Context: (general|email)\] \[Lang: (fr|en)\]$"
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, where a lambda would compute it for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def words(text: Column) -> Column:
     """Runs of anything but white space; empty for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[^{WS}]+"), F.lit(0))
@@ -48,8 +53,7 @@ def content_words(text: Column, tools: list[str]) -> Column:
     """Deaccented words without function words and single letters, apostrophes trimmed."""
     raw = F.regexp_extract_all(deaccent(F.lower(F.translate(text, "’ʼ", "''"))), F.lit("[a-z']+"), F.lit(0))
     bare = F.transform(raw, lambda w: F.regexp_replace(w, "^'+|'+$", ""))
-    stop = F.array(*[F.lit(t) for t in tools])
-    return F.filter(bare, lambda w: (F.length(w) > 1) & ~F.array_contains(stop, w))
+    return F.filter(bare, lambda w: (F.length(w) > 1) & ~w.isin(tools))
 
 
 def filter_words(text: Column, stop: list[str], digits: dict[str, str]) -> Column:
@@ -57,8 +61,7 @@ def filter_words(text: Column, stop: list[str], digits: dict[str, str]) -> Colum
     pieces = F.flatten(F.transform(
         F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[0-9]+|[a-zA-ZÀ-ÿ]+(?:['’][a-zA-ZÀ-ÿ]+)*"), F.lit(0)),
         lambda w: F.split(deaccent(F.lower(w)), "['’]")))
-    stops = F.array(*[F.lit(s) for s in stop])
-    kept = F.filter(pieces, lambda p: (F.length(p) >= 3) & ~F.array_contains(stops, p))
+    kept = F.filter(pieces, lambda p: (F.length(p) >= 3) & ~p.isin(stop))
     if not digits:
         digits = {"": ""}
     to_digit = F.create_map(*[F.lit(x) for kv in digits.items() for x in kv])
@@ -170,6 +173,10 @@ def digit_runs(text: Column) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
+    return let(tokens, lambda w: _ngrams(w, n))
+
+
+def _ngrams(tokens: Column, n: int) -> Column:
     count = F.greatest(F.size(tokens) - n + 1, F.lit(0))
     places = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
     return F.transform(places, lambda k: F.array_join(F.slice(tokens, k, n), " "))
@@ -177,7 +184,11 @@ def ngrams(tokens: Column, n: int) -> Column:
 
 def max_ngram_repeat(tokens: Column, n: int = 6, least: int = 12) -> Column:
     """Most occurrences of one run of n words; 1 for fewer than ``least`` words. Sorts once, then counts runs."""
-    ordered = F.array_sort(ngrams(tokens, n))
+    return let(tokens, lambda w: _max_repeat(w, n, least))
+
+
+def _max_repeat(tokens: Column, n: int, least: int) -> Column:
+    ordered = F.array_sort(_ngrams(tokens, n))
     start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(1).alias("best"))
 
     def step(a: Column, g: Column) -> Column:
@@ -193,7 +204,9 @@ def clauses(text: Column, most: int = 30, window: int = 20) -> Column:
     tidy = F.filter(F.transform(pieces, collapse), lambda s: s != "")
 
     def windows(piece: Column) -> Column:
-        w = F.split(piece, " ")
+        return let(F.struct(piece.alias("piece"), F.split(piece, " ").alias("w")), lambda x: parts(x["piece"], x["w"]))
+
+    def parts(piece: Column, w: Column) -> Column:
         cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / window).cast("int")), lambda k: F.array_join(F.slice(w, k * window + 1, window), " "))
         return F.when(F.size(w) <= most, F.array(piece)).otherwise(cut)
 

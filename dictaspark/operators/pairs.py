@@ -39,7 +39,7 @@ def filter_pair(dirty: Column, clean: Column, structure: Column, context: Column
     stop = L.STOP_EN if lang == "en" else [t for t in L.TOOLS["fr"] if "_" not in t] + L.HESITATIONS["fr"]
     digits = L.DIGITS_FR if lang == "fr" else {}
     source, target = t.filter_words(dirty, stop, digits), t.filter_words(clean, stop, digits)
-    invented = F.exists(target, lambda w: ~supported(w, source))
+    invented = t.let(source, lambda known: F.exists(target, lambda w: ~supported(w, known)))
     d, c = t.word_count(dirty), t.word_count(clean)
     ceiling = F.when((structure == "prose") & (context == "general"), 1.15).otherwise(1.35)
     blank = t.word_count(clean) == 0
@@ -64,14 +64,17 @@ def validate(rows: DataFrame, lang: str) -> DataFrame:
     tools, noise = L.TOOLS[lang], F.array(*[F.lit(w) for w in L.HESITATIONS[lang] + L.NUMBER_WORDS[lang]])
     source, target = F.array_distinct(t.content_words(d, tools)), F.array_distinct(t.content_words(c, tools))
     stems = lambda words: F.transform(words, lambda w: t.stem(w, L.SUFFIXES[lang]))
+    near = lambda w, known: F.array_contains(known["stems"], t.stem(w, L.SUFFIXES[lang]))
     plain = F.create_map(*[F.lit(x) for kv in L.SYNONYMS[lang].items() for x in kv])
     expected = F.create_map(*[x for name, ws in L.EXPECTED[lang].items() for x in (F.lit(name), F.array(*[F.lit(w) for w in ws]))])
     may = F.coalesce(F.try_element_at(expected, fam), F.array().cast("array<string>"))
     standard = F.array_compact(F.transform(source, lambda w: F.try_element_at(plain, w)))
     fresh = F.array_except(F.array_except(F.array_except(target, source), noise), may)
-    invented = F.filter(fresh, lambda w: ~F.array_contains(stems(source), t.stem(w, L.SUFFIXES[lang])) & ~F.array_contains(standard, w))
-    gone = F.filter(F.array_except(F.array_except(source, target), noise),
-                    lambda w: ~F.array_contains(stems(target), t.stem(w, L.SUFFIXES[lang])) & ~F.coalesce(F.array_contains(target, F.try_element_at(plain, w)), F.lit(False)))
+    invented = t.let(F.struct(stems(source).alias("stems"), standard.alias("standard")), lambda known: F.filter(
+        fresh, lambda w: ~near(w, known) & ~F.array_contains(known["standard"], w)))
+    gone = t.let(F.struct(stems(target).alias("stems"), target.alias("words")), lambda known: F.filter(
+        F.array_except(F.array_except(source, target), noise),
+        lambda w: ~near(w, known) & ~F.coalesce(F.array_contains(known["words"], F.try_element_at(plain, w)), F.lit(False))))
     made, keeps = F.coalesce(F.col("source").isin(L.SYNTHETIC), F.lit(False)), fam.isin(L.KEEPING)
     bare = lambda x: F.regexp_replace(t.deaccent(F.lower(x)), r"^[ .]+|[ .]+$", "")
     spoken = F.arrays_overlap(source, F.array(*[F.lit(w) for w in L.NUMBER_WORDS[lang]]))

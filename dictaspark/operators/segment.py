@@ -12,9 +12,10 @@ from dictaspark.session import ship
 
 
 def gap_islands(rows: DataFrame, key: str, at: Column, gap_s: float) -> DataFrame:
-    """Numbers the runs of a key that are cut where the silence is longer than ``gap_s`` seconds."""
+    """Numbers the runs of a key that are cut where the silence between timestamps is longer than ``gap_s`` seconds."""
     order = Window.partitionBy(key).orderBy(at, *[F.col(c) for c in sorted(rows.columns)])
-    jump = (at.cast("double") - F.lag(at).over(order).cast("double")) > gap_s
+    micros = F.unix_micros(at.cast("timestamp"))
+    jump = micros - F.lag(micros).over(order) > int(gap_s * 1_000_000)
     return rows.withColumn("_new", F.coalesce(jump, F.lit(False)).cast("int")).withColumn(
         "island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 

@@ -1,22 +1,15 @@
-"""Query catalogue of the relational and text operators."""
+"""All registered queries of the relational and text operators."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from dictaspark.session import table
-
-
-def unit_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units by reason of rejection and language, with counts and shares."""
-    asr = table(spark, sf_dir, "asr_takes")
-    return asr.groupBy("lang").agg(F.count("*").alias("n"))
+from dictaspark.plans import corpus, pairs, relational, scoring  # noqa: F401
+from dictaspark.plans.corpus import unit_funnel  # noqa: F401
+from dictaspark.plans.registry import QUERIES, SQL
 
 
 def queries() -> dict:
-    return {"unit_funnel": unit_funnel}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"unit_funnel": "SELECT lang, count(*) AS n FROM asr_takes GROUP BY lang"}
+    return dict(SQL)
