@@ -112,9 +112,9 @@ class Source:
 
 def sqlite_table(spark: SparkSession, path: str, query: str, schema: str, batch: int = 2000) -> DataFrame:
     """Rows of a read-only SQLite query, streamed by one task in batches; JDBC needs a driver jar that may be missing."""
+    names = spark.createDataFrame([], schema).columns
 
     def run(_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = T._parse_datatype_string(schema).fieldNames()
         with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
             cursor = db.execute(query)
             while rows := cursor.fetchmany(batch):
