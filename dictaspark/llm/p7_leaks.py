@@ -104,7 +104,7 @@ def _sketch(basis: np.ndarray, idf: np.ndarray):
                     image = weight @ basis[codes]
                     for c, w in zip(codes, weight):
                         total[c] = total.get(c, 0.0) + w * image
-        yield pd.DataFrame({"term": list(total), "image": [v.tolist() for v in total.values()]})
+        yield pd.DataFrame({"term": list(total), "image": pd.Series([v.tolist() for v in total.values()], dtype=object)})
 
     return run
 
