@@ -32,7 +32,7 @@ FACTORS = 8
 WINDOW, STEP = 10, 5
 MAX_LABELS = 6000
 EPOCHS = 14
-CUT = 0.5
+CUT = 0.2
 FILLERS = frozenset("um uh er hmm euh bah ben hum".split())
 _MARKS = re.compile(r"[̀-ͯ]+")
 _TOKEN = re.compile(r"[^\s]+")
@@ -139,26 +139,39 @@ class Machine:
 
 def fit(texts: list[str], labels: list[int]) -> tuple[Machine, dict[str, str]] | None:
     """Machine and the words meant by starred ones, or None when there is nothing to learn; deterministic."""
-    y = np.array(labels)
+    # texts that are the same but for layout speak once, by majority
+    votes: dict[str, list] = {}
+    for text, label in zip(texts, labels):
+        words = terms_of(text)
+        votes.setdefault(" ".join(words), [words, []])[1].append(label)
+    kept = [(words, int(2 * sum(v) > len(v))) for words, v in votes.values() if 2 * sum(v) != len(v)]
+    terms, y = [w for w, _ in kept], np.array([v for _, v in kept])
     if not len(y) or y.min() == y.max():
         return None
-    terms = [terms_of(t) for t in texts]
     machine = Machine()
     bags = [windows(t, {}) for t in terms]
     use = [k for k, b in enumerate(bags) if b]
-    # start from the smoothed log odds of a term's documents; a term of one document says nothing
-    machine.w, known = _start(bags, y, use)
+    # start from the smoothed log odds of a term over documents
+    pos, neg = _counts(bags, y, use)
+    machine.w, known = _start(pos, neg, y)
     masked = _masked(terms, machine)
     if masked:
         bags = [windows(t, masked) for t in terms]
-        machine.w, known = _start(bags, y, use)
+        pos, neg = _counts(bags, y, use)
+        machine.w, known = _start(pos, neg, y)
+    # each document's score from the others' verdicts: abusive ones that look harmless are held back, as some verdicts are wrong
+    first = np.zeros(len(bags))
+    for k in use:
+        seen = np.unique(np.concatenate(bags[k]))
+        kept = machine.w[seen].copy()
+        machine.w[seen] = _start(pos[seen] - y[k], neg[seen] - (1 - y[k]), y)[0]
+        first[k] = machine.scores(bags[k]).max()
+        machine.w[seen] = kept
+    plain = np.quantile([first[k] for k in use if not y[k]] or [-np.inf], 0.98)
+    held = {k for k in use if y[k] and first[k] <= plain}
     bags = [[f[known[f]] for f in b] for b in bags]
     bags = [[f for f in b if len(f)] for b in bags]
     use = [k for k in use if bags[k]]
-    first = np.array([machine.scores(bags[k]).max() for k in use])
-    plain = np.quantile(first[y[use] == 0], 0.97) if (y[use] == 0).any() else -np.inf
-    # abusive verdicts on texts that look like harmless ones are held back, as some verdicts are wrong
-    held = {k for k, s in zip(use, first) if y[k] and s <= plain}
     gw, gv, gb = np.full(SIZE, 0.05, np.float32), np.full((SIZE, FACTORS), 0.05, np.float32), 0.05
     rng = np.random.default_rng(4)
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
@@ -169,9 +182,9 @@ def fit(texts: list[str], labels: list[int]) -> tuple[Machine, dict[str, str]] |
             at = int(s.argmax())
             p = 1 / (1 + np.exp(-np.clip(s[at], -30, 30)))
             slope = float(p - y[k])
-            if k in held and (epoch < 4 or p < 0.3):
+            if k in held and (epoch < 5 or p < 0.6):
                 continue
-            if epoch > 4 and abs(slope) > 0.93:
+            if epoch > (4 if y[k] else 9) and abs(slope) > 0.93:
                 continue  # by then a verdict so far off is taken for a wrong one
             slope *= float(weight[k])
             if abs(slope) < 1e-3:
@@ -189,13 +202,18 @@ def fit(texts: list[str], labels: list[int]) -> tuple[Machine, dict[str, str]] |
     return machine, _masked(terms, machine) or masked
 
 
-def _start(bags: list[list[np.ndarray]], y: np.ndarray, use: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """First linear weights, and which terms stand in two documents or more."""
+def _counts(bags: list[list[np.ndarray]], y: np.ndarray, use: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Abusive and other documents of each term."""
     pos, neg = np.zeros(SIZE), np.zeros(SIZE)
     for k in use:
         (pos if y[k] else neg)[np.unique(np.concatenate(bags[k]))] += 1
+    return pos, neg
+
+
+def _start(pos: np.ndarray, neg: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First linear weights, and which terms are known from more than a single abusive document."""
     odds = np.log((pos + 0.3) / max(1, y.sum())) - np.log((neg + 0.3) / max(1, (1 - y).sum()))
-    known = pos + neg >= 2
+    known = (pos >= 2) | (neg >= 1)
     support = np.minimum(1.0, (pos + neg) / 4) * known
     return (0.35 * np.clip(np.where(np.abs(odds) > 1.0, odds, 0) * support, -3, 4)).astype(np.float32), known
 
