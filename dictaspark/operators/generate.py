@@ -16,8 +16,16 @@ WEIGHTS = {
                            "enfin_discursif": 7, "double_valeur": 7, "plutot_comparatif": 8},
     ("correction", "en"): {"pardon": 15, "enfin": 11, "plutot": 9, "veux_dire": 8, "non_sec": 10, "nombre": 12, "faux_depart": 8, "non_reponse": 13,
                            "enfin_discursif": 7, "double_valeur": 7, "plutot_comparatif": 8},
+    ("compo", "fr"): {"compo2": 65, "compo3": 35},
+    ("compo", "en"): {"compo2": 65, "compo3": 35},
+    ("paragraphes", "en"): {"sujets": 65, "meme_sujet": 35},
 }
-HESITATION = {("itn", "fr"): 0.18, ("itn", "en"): 0.20, ("correction", "fr"): 0.20, ("correction", "en"): 0.20}
+for _lang in ("fr", "en"):
+    WEIGHTS[("forme", _lang)] = {"vide": 8, "pas_vide": 8, "question": 13, "affirmation": 7, "question_indirecte": 7, "faux_depart_nu": 10, "liste": 12, "liste_en_prose": 7,
+                                 "liste_trop_courte": 5, "email": 10, "email_en_general": 6, "url": 12, "point_ordinaire": 7}
+    WEIGHTS[("coritn", _lang)] = {"jour_heure": 17, "lieu_montant": 15, "prenom_date": 14, "nombre_x": 16, "faux_depart": 13, "non_non_correctif": 14, "deux_valeurs": 11}
+HESITATION = {("itn", "fr"): 0.18, ("itn", "en"): 0.20, ("correction", "fr"): 0.20, ("correction", "en"): 0.20, ("compo", "fr"): 0.18, ("compo", "en"): 0.20,
+              ("coritn", "fr"): 0.22, ("coritn", "en"): 0.25}
 ONES = {"en": "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(),
         "fr": "zéro un deux trois quatre cinq six sept huit neuf dix onze douze treize quatorze quinze seize dix-sept dix-huit dix-neuf".split()}
 TENS = {"en": "twenty thirty forty fifty sixty seventy eighty ninety".split(), "fr": "vingt trente quarante cinquante soixante".split()}
@@ -129,6 +137,53 @@ def pairs(spark: SparkSession, group: str, lang: str, rows: int, seed: str = "7"
         forms[name] = (body, s(t.capitalise(body), "."))
     both = s(c("who"), " takes " if en else " prend ", c("day"), " and " if en else " et ", c("day2"))
     forms["double_valeur"] = (both, s(both, "."))
+    day_line = s(c("who"), " moves ", c("what"), " to " if en else " à ") if en else s(c("who"), " déplace ", c("what"), " à ")
+    two = s(c("who"), " and " if en else " et ", c("day"))
+    item = [s(t.capitalise(F.col(x)) if en else F.col(x)) for x in ("what", "day", "day2")]
+    bullets = s("- ", item[0], "\n- ", item[1], "\n- ", item[2])
+    spoken_list = s(c("what"), ", ", c("day"), ", ", c("day2"))
+    noise = _pick(NOISE[lang], _draw(seed, "hum"))
+    body = s(c("who"), " is waiting for ", c("what")) if en else s(c("who"), " attend ", c("what"))
+    address = s("www.", F.lower("who"), c("x"), ".example")
+    said_address = s(("w w w dot " if en else "w w w point "), F.lower("who"), " ", c("x_words"), (" dot example" if en else " point example"))
+    price_said, price = s(c("y_words"), " dollars" if en else " euros"), money
+    forms |= {
+        "vide": (s(noise, F.repeat(s(" ", _pick(NOISE[lang], _draw(seed, "hum2"))), (F.pmod(F.col("y"), F.lit(40)) + 1).cast("int"))), F.lit("")),
+        "pas_vide": (s(noise, " ", body, " ", noise), s(body, ".")),
+        "question": ((s("does ", c("who"), " know about ", c("what")), s("Does ", c("who"), " know about ", c("what"), "?")) if en
+                     else (s("est-ce que ", c("who"), " sait pour ", c("what")), s("Est-ce que ", c("who"), " sait pour ", c("what"), " ?"))),
+        "affirmation": (s(c("who"), " knows about ", c("what")) if en else s(c("who"), " sait pour ", c("what")), s(c("who"), " knows about " if en else " sait pour ", c("what"), ".")),
+        "question_indirecte": ((s("I wonder if ", c("who"), " comes on ", c("day")), s("I wonder if ", c("who"), " comes on ", c("day"), ".")) if en
+                               else (s("je me demande si ", c("who"), " vient ", c("day")), s("Je me demande si ", c("who"), " vient ", c("day"), "."))),
+        "faux_depart_nu": ((s("we could we will see ", c("who"), " on ", c("day")), s("We will see ", c("who"), " on ", c("day"), ".")) if en
+                           else (s("on pourrait on verra ", c("who"), " ", c("day")), s("On verra ", c("who"), " ", c("day"), "."))),
+        "liste": ((s(c("who"), " needs three things ", spoken_list), s(c("who"), " needs three things:\n", bullets)) if en
+                  else (s(c("who"), " a trois choses ", spoken_list), s(c("who"), " a trois choses :\n", bullets))),
+        "liste_en_prose": ((s(c("who"), " needs ", spoken_list), s(c("who"), " needs ", spoken_list, ".")) if en else (s(c("who"), " demande ", spoken_list), s(c("who"), " demande ", spoken_list, "."))),
+        "liste_trop_courte": (s("for " if en else "pour ", two), s("For " if en else "Pour ", two, ".")),
+        "email": ((s("hello ", body, " best regards"), s("Hello,\n\n", body, ".\n\nBest regards")) if en else (body, s("Bonjour,\n\n", body, ".\n\nCordialement"))),
+        "email_en_general": (body, s(body, ".")),
+        "url": (s("see " if en else "voir ", said_address), s("See " if en else "Voir ", address, ".")),
+        "point_ordinaire": ((s("at this point ", c("who"), " takes ", c("what")), s("At this point ", c("who"), " takes ", c("what"), ".")) if en
+                            else (s("on fait le point avec ", c("who"), " ", c("day")), s("On fait le point avec ", c("who"), " ", c("day"), "."))),
+        "compo2": (s(forms["montant"][0], (" and " if en else " et "), c("who"), (" is there at " if en else " est là à "), c("hour_words"), (" " if en else " heures "), c("minute_words"), " p m" if en else ""),
+                   s(t.capitalise(F.col("what")), (" costs " if en else " coûte "), money, (" and " if en else " et "), c("who"), (" is there at " if en else " est là à "), c("hour"), (":" if en else "h"), c("minute"), "pm." if en else ".")),
+        "compo3": (s(forms["montant"][0], (" and " if en else " et "), c("x_words"), (" percent go to " if en else " pour cent vont à "), c("who"), (" on " if en else " le "), *( (F.lower("month"), " ", c("dom_words")) if en else (c("dom_words"), " ", c("month")) )),
+                   s(t.capitalise(F.col("what")), (" costs " if en else " coûte "), money, (" and " if en else " et "), c("x"), ("% go to " if en else " % vont à "), c("who"), (" on " if en else " le "), *( (c("month"), " ", c("dom")) if en else (c("dom"), " ", c("month")) ), ".")),
+        "jour_heure": (s(day_line, c("day"), (" no " if en else " non "), c("day2"), (" at " if en else " à "), c("hour_words"), (" " if en else " heures "), c("minute_words"), " p m" if en else ""),
+                       s(day_line, c("day2"), (" at " if en else " à "), c("hour"), (":" if en else "h"), c("minute"), "pm." if en else ".")),
+        "lieu_montant": (s(c("what"), (" costs " if en else " coûte "), c("x_words"), (" sorry " if en else " pardon "), price_said), s(t.capitalise(F.col("what")), (" costs " if en else " coûte "), price, ".")),
+        "prenom_date": ((s(c("who"), " comes on ", F.lower("month"), " ", c("x_words"), " I mean ", F.lower("month"), " ", c("dom_words")), s(c("who"), " comes on ", c("month"), " ", c("dom"), ".")) if en
+                        else (s(c("who"), " vient le ", c("x_words"), " enfin le ", c("dom_words"), " ", c("month")), s(c("who"), " vient le ", c("dom"), " ", c("month"), "."))),
+        "nombre_x": forms["nombre"],
+        "non_non_correctif": ((s("no ", c("who"), " takes ", c("x_words"), " chairs"), s("No ", c("who"), " takes ", c("x"), " chairs.")) if en
+                              else (s("non ", c("who"), " prend ", c("x_words"), " chaises"), s("Non ", c("who"), " prend ", c("x"), " chaises."))),
+        "deux_valeurs": ((s(c("who"), " takes ", c("x_words"), " chairs and ", c("x2_words"), " lamps"), s(c("who"), " takes ", c("x"), " chairs and ", c("x2"), " lamps.")) if en
+                         else (s(c("who"), " prend ", c("x_words"), " chaises et ", c("x2_words"), " lampes"), s(c("who"), " prend ", c("x"), " chaises et ", c("x2"), " lampes."))),
+    }
+    first, second = s(c("who"), " is waiting for ", c("what"), " on ", c("day")), s("the budget for ", c("what"), " is ", c("y_words"), " dollars")
+    forms["sujets"] = (s(first, " ", second), s(first, ".\n\nThe budget for ", c("what"), " is ", money, "."))
+    forms["meme_sujet"] = (s(first, " ", F.lower("who"), " also asked for ", c("x_words"), " chairs"), s(first, ". ", c("who"), " also asked for ", c("x"), " chairs."))
     dirty = clean = None
     for name in weights:
         raw, out = forms[name]
@@ -138,10 +193,12 @@ def pairs(spark: SparkSession, group: str, lang: str, rows: int, seed: str = "7"
     unique = made.groupBy("dirty").agg(F.min_by(F.struct("n", "family", "clean"), "n").alias("r")).select("dirty", "r.*")
     held = sample_per_group(unique, ["family"], "n", f"{seed}:held", holdout).select("n", F.lit(True).alias("held_out"))
     marked = unique.join(held, "n", "left")
-    noisy = _draw(seed, "noise") / F.lit(float(1 << 32)) < HESITATION[(group, lang)]
+    noisy = _draw(seed, "noise") / F.lit(float(1 << 32)) < HESITATION.get((group, lang), 0.0)
     spoken_side = F.when(noisy, F.concat(_pick(NOISE[lang], _draw(seed, "which")), F.lit(" "), F.col("dirty"))).otherwise(F.col("dirty"))
-    control = t.control_line(F.lit("semi-formal"), F.lit("prose"), F.lit("general"), F.lit(lang))
+    structure = F.when(F.col("family").isin("liste", "liste_trop_courte"), "lists").otherwise("prose")
+    context = F.when(F.col("family") == "email", "email").otherwise("general")
+    control = t.control_line(F.lit("semi-formal"), structure, context, F.lit(lang))
     return marked.select(
         F.concat(F.lit(f"{group[:3]}-"), F.lpad(F.col("n").cast("string"), 8, "0")).alias("id"), F.concat(F.lit(f"{group[:3]}-"), "family").alias("file"),
         F.lit(group).alias("source"), F.lit(lang).alias("lang"), F.coalesce("held_out", F.lit(False)).alias("held_out"), F.lit("semi-formal").alias("styling"),
-        F.lit("prose").alias("structure"), F.lit("general").alias("context"), control.alias("control"), spoken_side.alias("dirty"), "clean")
+        structure.alias("structure"), context.alias("context"), control.alias("control"), spoken_side.alias("dirty"), "clean")

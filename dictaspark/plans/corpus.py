@@ -185,6 +185,26 @@ def generator_correction(spark: SparkSession, sf: str) -> DataFrame:
     return generate.pairs(spark, "correction", "fr", 5000)
 
 
+@query()
+def generator_forme(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "forme", "fr", 5000)
+
+
+@query()
+def generator_compo(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "compo", "en", 5000)
+
+
+@query()
+def generator_coritn(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "coritn", "fr", 5000)
+
+
+@query()
+def generator_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "paragraphes", "en", 5000)
+
+
 @query()
 def teach_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Takes that a first run left without a valid verdict, answered by a stub model."""
