@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dictaspark.operators.components import connected_components
+from dictaspark.operators.skew import join_hot_split
 from dictaspark.session import checkpoint, ship
 
 
@@ -32,28 +32,40 @@ def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
             ids.add(a)
             texts.add(b)
         kept.append(fresh)
-    return pd.DataFrame({"seq": pdf["seq"], "kept": kept})
+    return pd.DataFrame({"seq": pdf["seq"], "kept": kept}, columns=["seq", "kept"])
+
+
+#: So few undecided rows are replayed in order by one task.
+REPLAY_ROWS = 20_000
 
 
 def keep_first_two_keys(rows: DataFrame, first: Column, second: Column, seq: str) -> DataFrame:
     """Rows in ``seq`` order, skipped when either key was kept before; a skipped row registers neither.
 
     Independent ranks are wrong here, since a row skipped for one key must not own the
-    other. Rows are tied into components over shared keys, and only components of several
-    rows are replayed in order, each in one task; all rows with unique keys pass by. A
-    component of rows that all agree in both keys keeps its first row without a replay,
-    which is how hot groups of copies are met.
+    other. Of rows equal in both keys only the first can be kept, so hot groups of copies
+    shrink to one row first. Then, round by round, a row that is the first undecided one of
+    both its keys is kept, and rows that share a key with a kept one are skipped; this is
+    the sequential result exactly, whatever the size of tied groups. What is left once at
+    most ``REPLAY_ROWS`` rows are undecided is replayed in order by one task. Null keys
+    equal each other.
     """
     ship(rows.sparkSession)
     keyed = rows.withColumn("k1", F.coalesce(first.cast("string"), F.lit(""))).withColumn("k2", F.coalesce(second.cast("string"), F.lit("")))
-    # of rows equal in both keys only the first can be kept, so the rest never enters the replay
-    heads = checkpoint(keyed.groupBy("k1", "k2").agg(F.min(seq).alias("seq")))
-    n1, n2 = heads.groupBy("k1").agg(F.count("*").alias("n1")), heads.groupBy("k2").agg(F.count("*").alias("n2"))
-    counted = checkpoint(heads.join(n1, "k1").join(n2, "k2"))
-    lone = counted.filter("n1 = 1 and n2 = 1").select("seq")
-    tied = counted.filter("n1 > 1 or n2 > 1")
-    edges = tied.select(F.concat(F.lit("a"), "k1").alias("u"), F.concat(F.lit("b"), "k2").alias("v"))
-    roots = connected_components(edges).filter(F.col("node").startswith("a")).select(F.substring("node", 2, 1 << 30).alias("k1"), "root")
-    played = tied.join(roots, "k1").groupBy("root").applyInPandas(_replay, f"seq {dict(rows.dtypes)[seq]}, kept boolean")
-    kept = lone.unionByName(played.filter("kept").select("seq")).withColumnRenamed("seq", seq)
-    return rows.join(kept, seq, "left_semi")
+    open_ = checkpoint(keyed.groupBy("k1", "k2").agg(F.min(seq).alias("seq")))
+    kept, left = [], open_.count()
+    while left > REPLAY_ROWS:
+        m1, m2 = open_.groupBy("k1").agg(F.min("seq").alias("m1"), F.count("*").alias("n1")), open_.groupBy("k2").agg(F.min("seq").alias("m2"), F.count("*").alias("n2"))
+        marked = join_hot_split(open_, m1, ["k1"], "n1", left)
+        marked = checkpoint(join_hot_split(checkpoint(marked), m2, ["k2"], "n2", left))
+        won = marked.filter("seq = m1 and seq = m2").select("k1", "k2", "seq")
+        kept.append(won.select("seq"))
+        # a key with a winner is closed: its least undecided row is that winner
+        one, two = won.select("k1"), won.select("k2")
+        open_ = checkpoint(marked.select("k1", "k2", "seq").join(one, "k1", "left_anti").join(two, "k2", "left_anti"))
+        left = open_.count()
+    kind = dict(rows.dtypes)[seq]
+    rest = open_.groupBy(F.lit(0).alias("all")).applyInPandas(_replay, f"seq {kind}, kept boolean").filter("kept").select("seq")
+    for part in kept:
+        rest = rest.unionByName(part)
+    return rows.join(rest.withColumnRenamed("seq", seq), seq, "left_semi")

@@ -25,7 +25,9 @@ def test_two_keys(spark, rows, kept):
     assert sorted(r["seq"] for r in dedup.keep_first_two_keys(df, F.col("id"), F.col("dirty"), "seq").collect()) == kept
 
 
-def test_two_keys_brute_force(spark):
+@pytest.mark.parametrize("most", [20_000, 5])
+def test_two_keys_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(dedup, "REPLAY_ROWS", most)
     rng = random.Random(3)
     rows = [(k, f"i{rng.randrange(40)}", f"d{rng.randrange(40)}") for k in range(120)]
     ids, texts, kept = set(), set(), []
