@@ -9,7 +9,7 @@ from dictaspark.functions import pii, text as t
 from dictaspark.operators import dedup, generate, routing, segment
 from dictaspark.plans import sqltext as q
 from dictaspark.plans.registry import query
-from dictaspark.session import table
+from dictaspark.session import spread, table
 from dictaspark.streaming import resume
 
 
@@ -84,7 +84,7 @@ def triage_bands(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH d AS (SELECT doc_id, regexp_extract_all(text, '[^{q.SPACE}]+') AS w FROM documents)
 SELECT doc_id, CASE WHEN len(w) < 12 THEN 1 ELSE list_max(map_values(list_histogram({_GRAMS}))) END::INT AS repeats FROM d""")
 def ngram_max_repeat(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", t.max_ngram_repeat(t.words(F.col("text"))).alias("repeats"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", t.max_ngram_repeat(t.words(F.col("text"))).alias("repeats"))
 
 
 _FR = "le la les des du et est que qui dans pas pour sur avec une un".split()
@@ -127,7 +127,7 @@ def sized_islands(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def pack_sentences(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", F.posexplode(segment.pack_sentences(F.col("text"))).alias("piece", "text"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(segment.pack_sentences(F.col("text"))).alias("piece", "text"))
 
 
 @query()

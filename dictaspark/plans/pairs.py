@@ -10,7 +10,7 @@ from dictaspark.functions import text as t
 from dictaspark.operators import guard, pairs
 from dictaspark.plans import sqltext as q
 from dictaspark.plans.registry import query
-from dictaspark.session import table
+from dictaspark.session import spread, table
 
 _COUNTS = f"SELECT row_id, {q.word_count('dirty')} AS d, {q.word_count('clean')} AS c, control, dirty, clean FROM contribs"
 
@@ -101,19 +101,20 @@ def filter_pair(spark: SparkSession, sf: str) -> DataFrame:
     """First reason to reject each pair, by its language."""
     reason = pairs.by_language(lambda lang: pairs.filter_pair(
         F.col("dirty"), F.coalesce("clean", F.lit("")), t.control_axis(F.col("control"), "structure"), t.control_axis(F.col("control"), "context"), lang), F.col("lang"))
-    return table(spark, sf, "contribs").select("row_id", reason.alias("reason"))
+    rows = spread(table(spark, sf, "contribs").select("row_id", "lang", "control", "dirty", "clean"))
+    return rows.select("row_id", reason.alias("reason"))
 
 
 @query()
 def validate_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "contribs").filter("dirty is not null")
+    rows = spread(table(spark, sf, "contribs").filter("dirty is not null").select("lang", "file", "source", "dirty", "clean"))
     flags = ["invention", "rewriting", "lower_start", "no_final_mark", "keeping_lost", "keeping_digits", "identical"]
     parts = [pairs.validate(rows.filter(F.col("lang") == lang), lang) for lang in ("fr", "en")]
     return parts[0].unionByName(parts[1]).groupBy("lang").agg(F.count("*").alias("n"), *[F.count_if(F.col(f)).alias(f) for f in flags])
 
 
 def _guarded(spark: SparkSession, sf: str, kind: str) -> DataFrame:
-    rows = table(spark, sf, "contribs").filter("lang = 'fr'")
+    rows = spread(table(spark, sf, "contribs").filter("lang = 'fr'").select("row_id", "dirty", "clean", "control"))
     return guard.guard(rows, "row_id").filter(F.col("type") == kind)
 
 
@@ -145,7 +146,7 @@ def guard_polarity(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def contribution_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Refusals and warnings of the contributions, taken as lines of their files."""
-    rows = table(spark, sf, "contribs")
+    rows = spread(table(spark, sf, "contribs").select("row_id", "id", "file", "lang", "control", "dirty", "clean", "source"))
     raw = F.to_json(F.struct("id", "file", "lang", "control", "dirty", "clean", "source"), {"ignoreNullFields": "false"})
     lines = rows.select(F.concat(F.lit("contrib/"), F.coalesce("lang", F.lit("xx")), F.lit("/"), F.lower("file"), F.lit(".jsonl")).alias("path"), F.col("row_id").alias("line"), raw.alias("raw"))
     return pairs.gate(lines).groupBy("severity", "reason").agg(F.count("*").alias("n"))

@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer partitions than cores, dealt out evenly; other scans stay as they are.
+
+    For CPU-bound work on small files of one row group; large inputs never shuffle here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the session; one of our own only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
