@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dictaspark.session import ship
+from dictaspark.session import ship, spread
 
 N = 4
 BUCKETS = 64
@@ -135,7 +135,7 @@ def repetition(rows: DataFrame, row_id: str = "row_id", raw: str = "dirty", targ
     than any document could, so that all shares are exact.
     """
     ship(rows.sparkSession)
-    pair = rows.select(F.col(row_id).alias("row_id"), F.col(raw).alias("raw"), F.col(target).alias("target"))
+    pair = spread(rows.select(F.col(row_id).alias("row_id"), F.col(raw).alias("raw"), F.col(target).alias("target")))
     counts = pair.select("raw", "target").mapInPandas(_count, "feature int, raw bigint, target bigint")
     ratio = ratios(counts)
     least = bound(ratio, share) if share > 0 else -float("inf")

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dictaspark.session import ship
+from dictaspark.session import ship, spread
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 DEFECTS = ("empty", "truncated", "refusal", "copy", "other_language")
@@ -343,4 +343,4 @@ def tagged(rows: DataFrame, row_id: str = "row_id", prompt: str = "dirty", respo
     pairs = sorted((r["dirty"], r["clean"]) for r in sample if r["dirty"] and r["clean"])
     model = train(planted(pairs))
     shares = ", ".join(f"{t}_share double" for t in TAGS)
-    return flat.mapInPandas(_tagger(model), f"row_id bigint, defect string, {shares}")
+    return spread(flat).mapInPandas(_tagger(model), f"row_id bigint, defect string, {shares}")

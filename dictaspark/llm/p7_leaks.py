@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dictaspark.session import ship
+from dictaspark.session import ship, spread
 
 RUN = 12
 TERMS = 1 << 14
@@ -233,4 +233,4 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, measur
     idf = inverse_frequencies(docs)
     basis = latent_basis(items, idf)
     schema = "doc_id bigint, item_id bigint, cosine double, verbatim boolean, lcs_share double, answer_share double"
-    return docs.mapInPandas(_search(listed, basis, idf, cosine, measure), schema)
+    return spread(docs).mapInPandas(_search(listed, basis, idf, cosine, measure), schema)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dictaspark.session import ship
+from dictaspark.session import ship, spread
 
 BITS = 15
 SIZE = 1 << BITS
@@ -267,7 +267,7 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").limit(2 * MAX_LABELS).collect()
     rows = sorted(((r["doc_id"], r["text"] or "", r["toxic"]) for r in sample))
     model = fit([t for _, t, _ in rows], [y for *_, y in rows])
-    return docs.select("doc_id", "source", "text").mapInPandas(_scorer(model), "doc_id bigint, source string, score double")
+    return spread(docs.select("doc_id", "source", "text")).mapInPandas(_scorer(model), "doc_id bigint, source string, score double")
 
 
 def rates(scores: DataFrame, cut: float = CUT) -> DataFrame:
