@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 from dictaspark import lexicons as L
 from dictaspark.functions import pii, text as t
+from dictaspark.operators.skew import join_hot_split
+from dictaspark.session import checkpoint
 
 
 def markers(text: Column, lang: str) -> Column:
@@ -89,36 +91,70 @@ def validate(rows: DataFrame, lang: str) -> DataFrame:
 
 
 FILE_NAME = r"^[a-z0-9]+(?:-[a-z0-9]+)*-\d{4}-\d{2}\.jsonl$"
+FILE_PATH = r"^contrib/(fr|en)/[^/]+$"
+
+# Structural flags that refuse a file; rewriting only informs. JSON values that count as absent.
+STRUCTURAL = ["invention", "keeping_lost", "keeping_digits", "identical", "lower_start", "no_final_mark"]
+ABSENT = ["null", "false", "0", "0.0", '""', "[]", "{}"]
+
+
+def _parsed(lines: DataFrame) -> DataFrame:
+    """The keys of every line beside its path, with the language folder and the name the path gives."""
+    schema = "id string, file string, lang string, control string, dirty string, clean string, source string, held_out variant"
+    parsed = lines.withColumn("r", F.from_json("raw", schema)).withColumn("present", F.json_object_keys("raw"))
+    name = F.element_at(F.split("path", "/"), -1)
+    return parsed.select("*", "r.*", F.nullif(F.regexp_extract("path", FILE_PATH, 1), F.lit("")).alias("folder"), name.alias("name")).drop("r")
 
 
 def gate(lines: DataFrame, banned: list[str] | None = None) -> DataFrame:
     """Refusals and warnings of contributed lines ``(path, line, raw)``, one row per reason.
 
-    A line that does not parse, lacks keys, is too long or short, repeats an id or text,
-    has a control line out of form or blocking personal data is refused; a short text, and
-    numbers or streets that may be personal, are warned of. Every repeated key after its
-    first line counts, whatever became of the first.
+    A line that does not parse, lacks keys, has an empty side, is too long or short, is held
+    out, repeats an id or text, has a control line out of form, a language or file other
+    than its path's, or blocking personal data is refused; a short text, and numbers or
+    streets that may be personal, are warned of. Every repeated key after its first line
+    counts, whatever became of the first. Files without a refusal are then validated, and
+    every structural flag of a line is a refusal.
     """
-    schema = "id string, file string, lang string, control string, dirty string, clean string, source string"
     keys = F.array(*[F.lit(k) for k in ("id", "file", "lang", "control", "dirty", "clean", "source")])
-    parsed = lines.withColumn("r", F.from_json("raw", schema)).withColumn("present", F.json_object_keys("raw"))
-    parsed = parsed.withColumn("broken", F.col("present").isNull()).select("*", "r.*")
+    parsed = _parsed(lines).withColumn("broken", F.col("present").isNull())
+    parsed = parsed.withColumn("complete", ~F.col("broken") & (F.size(F.array_except(keys, F.coalesce("present", F.array().cast("array<string>")))) == 0))
     seq = F.struct("path", "line")
     first = lambda key: F.min(seq).over(Window.partitionBy(key))
     text_key = t.dedup_key(F.col("dirty"))
     n = t.word_count(F.col("dirty"))
     checked = parsed.withColumn("text_key", text_key).withColumn("id_first", first(F.col("id"))).withColumn("text_first", first(F.col("text_key")))
-    name = F.element_at(F.split("path", "/"), -1)
     hits = F.array_distinct(F.transform(F.concat(pii.findings(F.col("dirty"), banned), pii.findings(F.col("clean"), banned)), lambda h: h["category"]))
+    placed = F.col("complete") & F.col("folder").isNotNull()
+    said = F.regexp_extract("control", t.CONTROL, 4)
+    refuse = lambda when, reason: F.when(when, F.struct(F.lit("refusal").alias("severity"), F.lit(reason).alias("reason")))
     reasons = F.array_compact(F.concat(F.array(
-        F.when(~name.rlike(FILE_NAME), F.struct(F.lit("refusal").alias("severity"), F.lit("file_name").alias("reason"))),
-        F.when(F.col("broken"), F.struct(F.lit("refusal").alias("severity"), F.lit("not_json").alias("reason"))),
-        F.when(~F.col("broken") & (F.size(F.array_except(keys, F.col("present"))) > 0), F.struct(F.lit("refusal").alias("severity"), F.lit("missing_keys").alias("reason"))),
-        F.when(n > 150, F.struct(F.lit("refusal").alias("severity"), F.lit("too_long").alias("reason"))),
-        F.when(~F.col("broken") & (n < 5), F.struct(F.lit("refusal").alias("severity"), F.lit("too_short").alias("reason"))),
+        refuse(F.col("folder").isNull(), "path"),
+        refuse(~F.col("name").rlike(FILE_NAME), "file_name"),
+        refuse(F.col("broken"), "not_json"),
+        refuse(~F.col("broken") & ~F.col("complete"), "missing_keys"),
+        refuse(F.col("complete") & ~F.coalesce(F.to_json("held_out"), F.lit("null")).isin(ABSENT), "held_out"),
+        refuse(placed & ~F.col("lang").eqNullSafe(F.col("folder")), "lang"),
+        refuse(F.col("complete") & ~F.concat("file", F.lit(".jsonl")).eqNullSafe(F.col("name")), "file"),
+        refuse(F.col("complete") & ((n == 0) | (t.word_count(F.col("clean")) == 0)), "empty_side"),
+        refuse(n > 150, "too_long"),
+        refuse(~F.col("broken") & (n < 5), "too_short"),
         F.when((n >= 5) & (n < 20), F.struct(F.lit("warning").alias("severity"), F.lit("short").alias("reason"))),
-        F.when(~F.col("control").rlike(t.CONTROL), F.struct(F.lit("refusal").alias("severity"), F.lit("control").alias("reason"))),
-        F.when(F.col("id").isNotNull() & (F.col("id_first") != seq), F.struct(F.lit("refusal").alias("severity"), F.lit("repeated_id").alias("reason"))),
-        F.when(F.col("dirty").isNotNull() & (F.col("text_first") != seq), F.struct(F.lit("refusal").alias("severity"), F.lit("repeated_text").alias("reason"))),
+        refuse(~F.coalesce(F.col("control").rlike(t.CONTROL), ~F.col("complete")), "control"),
+        refuse(placed & F.col("control").rlike(t.CONTROL) & (said != F.col("folder")), "control_lang"),
+        refuse(F.col("id").isNotNull() & (F.col("id_first") != seq), "repeated_id"),
+        refuse(F.col("dirty").isNotNull() & (F.col("text_first") != seq), "repeated_text"),
     ), F.transform(hits, lambda h: F.struct(F.when(h.isin(pii.BLOCKING), "refusal").otherwise("warning").alias("severity"), F.concat(F.lit("pii_"), h).alias("reason")))))
-    return checked.select("path", "line", F.explode(reasons).alias("x")).select("path", "line", "x.severity", "x.reason")
+    found = checkpoint(checked.select("path", "line", F.explode(reasons).alias("x")).select("path", "line", "x.severity", "x.reason"))
+    return found.unionByName(_structure(lines, found.filter("severity = 'refusal'").select("path").distinct()))
+
+
+def _structure(lines: DataFrame, refused: DataFrame) -> DataFrame:
+    """Structural refusals of the files that have no other."""
+    files = lines.groupBy("path").agg(F.count("*").alias("n")).join(refused.withColumn("refused", F.lit(True)), "path", "left")
+    files = checkpoint(files)
+    total = files.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = join_hot_split(_parsed(lines), files, ["path"], "n", total).filter("refused is null")
+    flags = F.array_compact(F.array(*[F.when(F.col(f), F.lit(f"structure_{f}")) for f in STRUCTURAL]))
+    parts = [validate(rows.filter(F.col("folder") == lang), lang) for lang in ("fr", "en")]
+    return parts[0].unionByName(parts[1]).select("path", "line", F.lit("refusal").alias("severity"), F.explode(flags).alias("reason"))

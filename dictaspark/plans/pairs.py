@@ -145,8 +145,9 @@ def guard_polarity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def contribution_gate(spark: SparkSession, sf: str) -> DataFrame:
-    """Refusals and warnings of the contributions, taken as lines of their files."""
+    """Refusals and warnings of the contributions, taken as lines of their files; the family names of ``name_list`` are banned."""
     rows = spread(table(spark, sf, "contribs").select("row_id", "id", "file", "lang", "control", "dirty", "clean", "source"))
     raw = F.to_json(F.struct("id", "file", "lang", "control", "dirty", "clean", "source"), {"ignoreNullFields": "false"})
     lines = rows.select(F.concat(F.lit("contrib/"), F.coalesce("lang", F.lit("xx")), F.lit("/"), F.lower("file"), F.lit(".jsonl")).alias("path"), F.col("row_id").alias("line"), raw.alias("raw"))
-    return pairs.gate(lines).groupBy("severity", "reason").agg(F.count("*").alias("n"))
+    banned = [r["name"] for r in table(spark, sf, "name_list").filter("lower(trim(kind)) = 'family'").select(F.lower(F.trim("entry")).alias("name")).distinct().collect()]
+    return pairs.gate(lines, sorted(banned)).groupBy("severity", "reason").agg(F.count("*").alias("n"))

@@ -1,5 +1,8 @@
 """Queries that do the whole job of one whose SQL leaves part of it out."""
 
+import json
+
+from dictaspark.operators import pairs
 from dictaspark.plans import catalogue
 from tests.helpers import connection, same
 
@@ -21,3 +24,23 @@ def test_argmax_keeps_ties(spark, tmp_path):
     rows = [(4, "a", 9.0), (3, "a", 9.0), (1, "a", 5.0), (8, "a", 0.5), (7, "a", 0.5), (9, "a", None)]
     sf = written(spark, tmp_path, "events", rows, "event_id long, event_type string, value double")
     assert [tuple(r) for r in agrees(spark, sf, "argmax_all_events")] == [("a", 3, 7)]
+
+
+def test_gate_reasons(spark):
+    control = "[Styling: casual] [Structure: prose] [Context: general] [Lang: %s]"
+    number = iter(range(99))
+
+    def line(**new):
+        k = next(number)
+        row = {"id": f"i{k}", "file": "a-2026-09", "lang": "fr", "control": control % "fr", "dirty": f"bonjour n{k} " + "mot " * 25, "clean": f"Bonjour n{k} " + "mot " * 24 + "mot.", "source": "x"}
+        return json.dumps(row | new)
+
+    a, good = "contrib/fr/a-2026-09.jsonl", "contrib/fr/b-2026-09.jsonl"
+    rows = [(a, 1, line(clean=" ")), (a, 2, line(clean=None)), (a, 3, line(control=None)), (a, 4, line(lang="en")), (a, 5, line(file="c-2026-09")),
+            (a, 6, line(control=control % "en")), (a, 7, line(held_out=True)), (a, 8, line(held_out=False)), (a, 9, line(clean="Bonjour Dupont.")),
+            (a, 10, line(source="itn", clean="sans rapport")), (a, 11, line(held_out="false")), ("other/a-2026-09.jsonl", 1, line()),
+            (good, 1, line(file="b-2026-09", source="itn", clean="bonjour nuage")), (good, 2, line(file="b-2026-09", source="x", clean="nuage"))]
+    lines = spark.createDataFrame(rows, "path string, line int, raw string")
+    got = {(r["path"], r["line"], r["reason"]) for r in pairs.gate(lines, ["Dupont"]).collect()}
+    assert got == {(a, 1, "empty_side"), (a, 2, "empty_side"), (a, 3, "control"), (a, 4, "lang"), (a, 5, "file"), (a, 6, "control_lang"), (a, 7, "held_out"), (a, 9, "pii_nom_banni"), (a, 11, "held_out"),
+                   ("other/a-2026-09.jsonl", 1, "path"), (good, 1, "structure_invention"), (good, 1, "structure_lower_start"), (good, 1, "structure_no_final_mark")}
