@@ -80,9 +80,9 @@ def pack_sentences(text: Column, target: int = 110, most: int = 260, least: int
     return F.filter(pieces, lambda p: t.word_count(p) >= least)
 
 
-def consecutive_windows(rows: DataFrame, key: str, rank: str, words: str, size: int, most: int = 260) -> DataFrame:
-    """Starts of ``size`` rows whose ranks follow one another and whose words add up to at most ``most``."""
-    order = Window.partitionBy(key).orderBy(rank)
+def consecutive_windows(rows: DataFrame, key: str, rank: str, words: str, size: int, most: int = 260, tie: str | None = None) -> DataFrame:
+    """Starts of ``size`` rows whose ranks follow one another and whose words add up to at most ``most``; ``tie`` orders equal ranks."""
+    order = Window.partitionBy(key).orderBy(rank, *([tie] if tie else []))
     total, contiguous = F.col(words), F.lit(True)
     for k in range(1, size):
         total = total + F.lead(words, k).over(order)

@@ -104,6 +104,7 @@ s AS (SELECT session_id, audio_id, row_number() OVER (PARTITION BY session_id OR
 l AS (SELECT session_id, audio_id, r, w + lead(w) OVER p + lead(w, 2) OVER p AS total_words FROM s WINDOW p AS (PARTITION BY session_id ORDER BY r))
 SELECT session_id, audio_id, total_words::BIGINT AS total_words FROM l WHERE total_words <= 60""")
 def consecutive_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbours by audio_id, as in the SQL; ``windows_by_idx`` asks that idx follows on."""
     from pyspark.sql.window import Window
 
     rows = table(spark, sf, "utterances").filter("session_id is not null and paragraph_id is not null")
@@ -112,6 +113,17 @@ def consecutive_windows(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("session_id", "audio_id", F.col("total_words").cast("bigint").alias("total_words"))
 
 
+@query("""WITH s AS (SELECT session_id, audio_id, idx, coalesce(words, 0) AS w FROM utterances WHERE session_id IS NOT NULL AND paragraph_id IS NOT NULL),
+l AS (SELECT session_id, audio_id, idx, w, lead(idx) OVER p AS i2, lead(idx, 2) OVER p AS i3, lead(w) OVER p AS w2, lead(w, 2) OVER p AS w3 FROM s WINDOW p AS (PARTITION BY session_id ORDER BY idx, audio_id))
+SELECT session_id, audio_id, 2 AS size, (w + w2)::BIGINT AS total_words FROM l WHERE i2 = idx + 1 AND w + w2 <= 260 UNION ALL
+SELECT session_id, audio_id, 3 AS size, (w + w2 + w3)::BIGINT AS total_words FROM l WHERE i2 = idx + 1 AND i3 = idx + 2 AND w + w2 + w3 <= 260""")
+def windows_by_idx(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of 2 and 3 utterances whose idx follow one another, of at most 260 words."""
+    rows = table(spark, sf, "utterances").filter("session_id is not null and paragraph_id is not null").select("session_id", "audio_id", "idx", F.coalesce("words", F.lit(0)).alias("w"))
+    two, three = (segment.consecutive_windows(rows, "session_id", "idx", "w", n, 260, "audio_id").withColumn("size", F.lit(n)) for n in (2, 3))
+    return two.unionByName(three).select("session_id", "audio_id", "size", F.col("total_words").cast("bigint").alias("total_words"))
+
+
 @query()
 def greedy_segments(spark: SparkSession, sf: str) -> DataFrame:
     return segment.utterance_bins(table(spark, sf, "utterances").filter("paragraph_id is not null"))

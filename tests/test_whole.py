@@ -44,3 +44,10 @@ def test_gate_reasons(spark):
     got = {(r["path"], r["line"], r["reason"]) for r in pairs.gate(lines, ["Dupont"]).collect()}
     assert got == {(a, 1, "empty_side"), (a, 2, "empty_side"), (a, 3, "control"), (a, 4, "lang"), (a, 5, "file"), (a, 6, "control_lang"), (a, 7, "held_out"), (a, 9, "pii_nom_banni"), (a, 11, "held_out"),
                    ("other/a-2026-09.jsonl", 1, "path"), (good, 1, "structure_invention"), (good, 1, "structure_lower_start"), (good, 1, "structure_no_final_mark")}
+
+
+def test_windows_follow_idx(spark, tmp_path):
+    rows = [("s", "p", a, i, w) for a, i, w in (("a9", 0, 100), ("a1", 1, 100), ("a5", 2, 60), ("a2", 4, 5), ("a3", 5, 5), ("a4", 6, 251), ("b1", 8, 1), ("b0", 8, 1), ("b2", 9, 1))]
+    sf = written(spark, tmp_path, "utterances", rows, "session_id string, paragraph_id string, audio_id string, idx int, words int")
+    got = {(r["audio_id"], r["size"], r["total_words"]) for r in agrees(spark, sf, "windows_by_idx")}
+    assert got == {("a9", 2, 200), ("a1", 2, 160), ("a9", 3, 260), ("a2", 2, 10), ("a3", 2, 256), ("b1", 2, 2)}
