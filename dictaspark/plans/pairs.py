@@ -49,12 +49,21 @@ def digit_invention(spark: SparkSession, sf: str) -> DataFrame:
 @query(r"""SELECT row_id, len(regexp_extract_all(lower(coalesce(dirty, '')), '\b(?:not|never|none|nothing|nobody|neither|nor|cannot)\b|n[''’]t\b'))::INT AS d,
 len(regexp_extract_all(lower(coalesce(clean, '')), '\b(?:not|never|none|nothing|nobody|neither|nor|cannot)\b|n[''’]t\b'))::INT AS c FROM contribs WHERE lang = 'en'""")
 def negation_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Full English markers without the bare "no", whose exception needs a lookahead."""
+    """Full English markers without the bare "no", as in the SQL; ``negation_markers`` has it, and French."""
     pattern = L.NEGATION["en"].split(r"|\bno\b")[0].removeprefix("(?iU)")
     count = lambda c: F.size(F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit(pattern), F.lit(0)))
     return table(spark, sf, "contribs").filter("lang = 'en'").select("row_id", count("dirty").alias("d"), count("clean").alias("c"))
 
 
+@query()
+def negation_markers(spark: SparkSession, sf: str) -> DataFrame:
+    """Full markers and particles of both sides and what became of them, by the full patterns of the row's language."""
+    rows = spread(table(spark, sf, "contribs").select("row_id", "lang", "dirty", "clean"))
+    count = lambda side, k: pairs.by_language(lambda lang: pairs.negation(F.col(side), lang)[k], F.col("lang"))
+    delta = pairs.by_language(lambda lang: pairs.negation_delta(F.col("dirty"), F.col("clean"), lang), F.col("lang"))
+    return rows.select("row_id", count("dirty", 0).alias("d"), count("dirty", 1).alias("d_particles"), count("clean", 0).alias("c"), count("clean", 1).alias("c_particles"), delta.alias("delta"))
+
+
 @query("SELECT row_id, '[Styling: semi-formal] [Structure: prose] [Context: general] [Lang: ' || lang || ']' AS line FROM contribs WHERE lang IS NOT NULL")
 def control_line_build(spark: SparkSession, sf: str) -> DataFrame:
     line = t.control_line(F.lit("semi-formal"), F.lit("prose"), F.lit("general"), F.col("lang"))

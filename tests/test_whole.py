@@ -1,6 +1,7 @@
 """Queries that do the whole job of one whose SQL leaves part of it out."""
 
 import json
+import re
 
 from dictaspark.operators import pairs
 from dictaspark.plans import catalogue
@@ -51,3 +52,22 @@ def test_windows_follow_idx(spark, tmp_path):
     sf = written(spark, tmp_path, "utterances", rows, "session_id string, paragraph_id string, audio_id string, idx int, words int")
     got = {(r["audio_id"], r["size"], r["total_words"]) for r in agrees(spark, sf, "windows_by_idx")}
     assert got == {("a9", 2, 200), ("a1", 2, 160), ("a9", 3, 260), ("a2", 2, 10), ("a3", 2, 256), ("b1", 2, 2)}
+
+
+def test_negation_of_both_languages(spark, tmp_path):
+    texts = [("en", "no I do not know, no wait, don't", "I know."), ("fr", "je sais pas", "Je ne sais pas."), ("fr", "je sais", "Je n'ai su."), ("en", None, "No."), (None, "no", "no"), ("en", "no , wait nor No", "nothing")]
+    sf = written(spark, tmp_path, "contribs", [(k, *x) for k, x in enumerate(texts)], "row_id long, lang string, dirty string, clean string")
+
+    def brute(text, lang):
+        found = [m.lower() for m in re.findall(PATTERNS[lang], text or "", re.I)]
+        particles = sum(m in ("ne", "n'", "n’") for m in found)
+        return len(found) - particles, particles
+
+    want = {(k, *brute(d, lang or "en"), *brute(c, lang or "en")) for k, (lang, d, c) in enumerate(texts)}
+    rows = QUERIES["negation_markers"](spark, sf).collect()
+    assert {tuple(r)[:5] for r in rows} == want and (0, 3, 0, 0, 0) in want
+    assert {r["row_id"]: r["delta"] for r in rows} == {0: "changed", 1: None, 2: "particle", 3: "changed", 4: None, 5: "changed"}
+
+
+PATTERNS = {"fr": r"\b(?:ne|n['’]|pas|plus|jamais|rien|aucune?s?|nul[le]*s?|ni|personne)\b",
+            "en": r"\b(?:not|never|none|nothing|nobody|neither|nor|cannot)\b|n['’]t\b|\bno\b(?!\s*,?\s*wait\b)"}
