@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dictaspark import lexicons as L
 from dictaspark.functions import text as t
 from dictaspark.operators import pipeline, sample
 from dictaspark.plans import sqltext as q
@@ -102,6 +103,18 @@ def binary_bench(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.binary_bench(side(F.max), side(F.min))
 
 
+@query(f"""WITH r AS (SELECT id, CASE WHEN verdict IS NOT NULL THEN {{'v': upper(trim(verdict)), 'c': coalesce(causes, [])}} END AS x FROM qc_verdicts),
+b AS (SELECT id, max(x) AS a, min(x) AS b FROM r GROUP BY id)
+SELECT count(*) AS n, count(*) FILTER (a.v = b.v) AS agree, count(*) FILTER (a.v = 'KO' AND b.v = 'OK') AS missed_ko, count(*) FILTER (a.v = 'OK' AND b.v = 'KO') AS false_ko,
+count(*) FILTER (a.v = 'KO' AND b.v = 'KO' AND len(list_filter(a.c, lambda x: list_contains(b.c, x) AND x IN ({q.quoted(L.SHARED_CAUSES)}))) > 0) AS cause_agree FROM b WHERE id IS NOT NULL""")
+def binary_bench_causes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every id's largest against its smallest judgement, by verdict and then causes, and the shared causes of both."""
+    judged = F.struct(F.upper(F.trim("verdict")).alias("verdict"), F.coalesce("causes", F.array().cast("array<string>")).alias("causes"))
+    rows = table(spark, sf, "qc_verdicts").select("id", F.when(F.col("verdict").isNotNull(), judged).alias("x")).groupBy("id")
+    side = lambda f: rows.agg(f("x").alias("x")).select("id", "x.*")
+    return pipeline.binary_bench(side(F.max), side(F.min))
+
+
 _EXPLICIT = ["rent", "price", "budget", "dollars", "euros", "prix"]
 
 

@@ -71,3 +71,9 @@ def test_negation_of_both_languages(spark, tmp_path):
 
 PATTERNS = {"fr": r"\b(?:ne|n['’]|pas|plus|jamais|rien|aucune?s?|nul[le]*s?|ni|personne)\b",
             "en": r"\b(?:not|never|none|nothing|nobody|neither|nor|cannot)\b|n['’]t\b|\bno\b(?!\s*,?\s*wait\b)"}
+
+
+def test_bench_counts_shared_causes(spark, tmp_path):
+    rows = [("a", "KO", ["boucle", "vide"]), ("a", "ko ", ["boucle"]), ("b", "KO", ["vide"]), ("b", "KO", ["vide"]), ("c", "KO", ["langue"]), ("c", "OK", []), ("d", None, ["boucle"]), ("e", "KO", ["langue"]), ("e", "KO", None)]
+    sf = written(spark, tmp_path, "qc_verdicts", rows, "id string, verdict string, causes array<string>")
+    assert [r.asDict() for r in agrees(spark, sf, "binary_bench_causes")] == [{"n": 5, "agree": 3, "missed_ko": 0, "false_ko": 1, "cause_agree": 1}]
