@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dictaspark.functions import text as t
 from dictaspark.operators.sample import sample_per_group, weighted_choice
@@ -32,9 +33,12 @@ TENS = {"en": "twenty thirty forty fifty sixty seventy eighty ninety".split(), "
 MONTHS = {"en": "January February March April May June July August September October November December".split(),
           "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split()}
 DAYS = {"en": "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split(), "fr": "lundi mardi mercredi jeudi vendredi samedi dimanche".split()}
-NAMES = "Alix Bruno Claire Denis Emma Farid Gina Hugo Irene Jonas".split()
+NAMES = ("Alix Bruno Claire Denis Emma Farid Gina Hugo Irene Jonas Karim Lena Marco Nadia Oscar Paula Quentin Rosa Samir Tessa Ugo Vera Walid Xenia Yann Zoe Adele Basil Carla Dario Elsa Felix Greta Henri Ilan "
+         "Julie Kevin Lina Milo Nora Olga Pablo Rania Simon Talia Ulric Vanda Wendy Yasmin Zack Agnes Boris Cora Diego Edith Fanny Gaspard Hanna Igor Jade Kenza Louis Mina Noel Odile Pierre Ramon Selma Theo "
+         "Ursula Victor Wanda Yves Zelda Anton Berta Cyril Dora Elias Flora Gilles Heidi Ivan Judith Klaus Laura Malik Nina Otto Petra Rachid Sonia Tomas Viola Wilma Yuri Zita Arno Bella Cesar").split()
 NOISE = {"en": ["um", "uh", "hmm"], "fr": ["euh", "bah", "ben"]}
-EVENTS = {"en": ["the visit", "the call", "the review", "the lunch", "the training"], "fr": ["la visite", "l'appel", "la réunion", "le déjeuner", "la formation"]}
+EVENTS = {"en": [f"the {e}" for e in "visit call review lunch training meeting audit workshop survey dinner trip move repair tour demo exam concert market parade ceremony briefing contest lecture auction picnic rehearsal inspection fair election transfer".split()],
+          "fr": "la visite|l'appel|la réunion|le déjeuner|la formation|le bilan|l'audit|l'atelier|l'enquête|le dîner|le voyage|le déménagement|la réparation|la tournée|la démonstration|l'examen|le concert|le marché|le défilé|la cérémonie|le point presse|le concours|la conférence|la vente|le goûter|la répétition|l'inspection|la foire|le vote|le transfert".split("|")}
 
 
 def spoken(n: int, lang: str) -> str:
@@ -75,16 +79,38 @@ def _draw(seed: str, name: str) -> Column:
     return t.hash_draw(f"{seed}:{name}", F.col("n"))
 
 
+def quotas(weights: dict[str, int], rows: int) -> dict[str, int]:
+    """Rows by family in proportion to the weights, largest remainders first."""
+    total = sum(weights.values())
+    out = {name: rows * w // total for name, w in weights.items()}
+    for name in sorted(weights, key=lambda f: -(rows * weights[f] % total))[: rows - sum(out.values())]:
+        out[name] += 1
+    return out
+
+
+# Draws a row asked for, by round; a later round is made where a family is short of distinct texts.
+ROUNDS = (4, 40)
+
+
 def pairs(spark: SparkSession, group: str, lang: str, rows: int, seed: str = "7", holdout: float = 0.08) -> DataFrame:
     """``pair`` rows of one generator group.
 
     One set of draws renders both sides. Repeated raw texts keep their first row, before
-    a hesitation is put in front of some; a share of each family is held out. The reference's
-    byte-identical output is not aimed at: schema, families, weights, uniqueness, hold-out
-    and exact values are.
+    a hesitation is put in front of some, and more are drawn until every family has its
+    quota of distinct texts or 40 times the rows are drawn; a share of each family is held
+    out. The reference's byte-identical output is not aimed at: schema, families, weights,
+    uniqueness, hold-out and exact values are.
     """
+    for tries in ROUNDS:
+        unique = _distinct(spark, group, lang, rows, seed, tries)
+        if tries == ROUNDS[-1] or unique.count() == rows:
+            return _finished(unique, group, lang, seed, holdout)
+
+
+def _distinct(spark: SparkSession, group: str, lang: str, rows: int, seed: str, tries: int) -> DataFrame:
+    """``(dirty, n, family, clean)``: each family's first distinct texts of ``tries`` draws a row, up to its quota."""
     weights = WEIGHTS[(group, lang)]
-    base = spark.range(rows).select(F.col("id").alias("n"))
+    base = spark.range(rows * tries).select(F.col("id").alias("n"))
     base = base.withColumn("family", weighted_choice(_draw(seed, "family") / F.lit(float(1 << 32)), {k: float(v) for k, v in weights.items()}))
     small, big = (F.pmod(_draw(seed, "a"), F.lit(98)) + 2).cast("int"), (F.pmod(_draw(seed, "b"), F.lit(9800)) + 101).cast("int")
     base = base.withColumn("x", small).withColumn("y", big).withColumn("x2", F.pmod(F.col("x") + 1 + F.pmod(_draw(seed, "c"), F.lit(90)), F.lit(97)).cast("int") + 2)
@@ -148,7 +174,7 @@ def pairs(spark: SparkSession, group: str, lang: str, rows: int, seed: str = "7"
     said_address = s(("w w w dot " if en else "w w w point "), F.lower("who"), " ", c("x_words"), (" dot example" if en else " point example"))
     price_said, price = s(c("y_words"), " dollars" if en else " euros"), money
     forms |= {
-        "vide": (s(noise, F.repeat(s(" ", _pick(NOISE[lang], _draw(seed, "hum2"))), (F.pmod(F.col("y"), F.lit(40)) + 1).cast("int"))), F.lit("")),
+        "vide": (s(noise, F.repeat(s(" ", _pick(NOISE[lang], _draw(seed, "hum2"))), (F.pmod(F.col("y"), F.lit(40)) + 1).cast("int")), " ", _pick(NOISE[lang], _draw(seed, "hum3"))), F.lit("")),
         "pas_vide": (s(noise, " ", body, " ", noise), s(body, ".")),
         "question": ((s("does ", c("who"), " know about ", c("what")), s("Does ", c("who"), " know about ", c("what"), "?")) if en
                      else (s("est-ce que ", c("who"), " sait pour ", c("what")), s("Est-ce que ", c("who"), " sait pour ", c("what"), " ?"))),
@@ -161,7 +187,7 @@ def pairs(spark: SparkSession, group: str, lang: str, rows: int, seed: str = "7"
                   else (s(c("who"), " a trois choses ", spoken_list), s(c("who"), " a trois choses :\n", bullets))),
         "liste_en_prose": ((s(c("who"), " needs ", spoken_list), s(c("who"), " needs ", spoken_list, ".")) if en else (s(c("who"), " demande ", spoken_list), s(c("who"), " demande ", spoken_list, "."))),
         "liste_trop_courte": (s("for " if en else "pour ", two), s("For " if en else "Pour ", two, ".")),
-        "email": ((s("hello ", body, " best regards"), s("Hello,\n\n", body, ".\n\nBest regards")) if en else (body, s("Bonjour,\n\n", body, ".\n\nCordialement"))),
+        "email": ((s("hello ", body, " best regards"), s("Hello,\n\n", body, ".\n\nBest regards")) if en else (s("bonjour ", body, " cordialement"), s("Bonjour,\n\n", body, ".\n\nCordialement"))),
         "email_en_general": (body, s(body, ".")),
         "url": (s("see " if en else "voir ", said_address), s("See " if en else "Voir ", address, ".")),
         "point_ordinaire": ((s("at this point ", c("who"), " takes ", c("what")), s("At this point ", c("who"), " takes ", c("what"), ".")) if en
@@ -191,6 +217,11 @@ def pairs(spark: SparkSession, group: str, lang: str, rows: int, seed: str = "7"
         clean = F.when(F.col("family") == name, out) if clean is None else clean.when(F.col("family") == name, out)
     made = base.select("n", "family", dirty.alias("dirty"), clean.alias("clean"))
     unique = made.groupBy("dirty").agg(F.min_by(F.struct("n", "family", "clean"), "n").alias("r")).select("dirty", "r.*")
+    quota = F.element_at(F.create_map(*[F.lit(x) for kv in quotas(weights, rows).items() for x in kv]), F.col("family"))
+    return unique.withColumn("rank", F.row_number().over(Window.partitionBy("family").orderBy("n"))).filter(F.col("rank") <= quota).drop("rank")
+
+
+def _finished(unique: DataFrame, group: str, lang: str, seed: str, holdout: float) -> DataFrame:
     held = sample_per_group(unique, ["family"], "n", f"{seed}:held", holdout).select("n", F.lit(True).alias("held_out"))
     marked = unique.join(held, "n", "left")
     noisy = _draw(seed, "noise") / F.lit(float(1 << 32)) < HESITATION.get((group, lang), 0.0)

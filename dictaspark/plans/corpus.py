@@ -192,26 +192,51 @@ def generator_itn(spark: SparkSession, sf: str) -> DataFrame:
     return generate.pairs(spark, "itn", "en", 5000)
 
 
+@query()
+def generator_itn_fr(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "itn", "fr", 5000)
+
+
 @query()
 def generator_correction(spark: SparkSession, sf: str) -> DataFrame:
     return generate.pairs(spark, "correction", "fr", 5000)
 
 
+@query()
+def generator_correction_en(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "correction", "en", 5000)
+
+
 @query()
 def generator_forme(spark: SparkSession, sf: str) -> DataFrame:
     return generate.pairs(spark, "forme", "fr", 5000)
 
 
+@query()
+def generator_forme_en(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "forme", "en", 5000)
+
+
 @query()
 def generator_compo(spark: SparkSession, sf: str) -> DataFrame:
     return generate.pairs(spark, "compo", "en", 5000)
 
 
+@query()
+def generator_compo_fr(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "compo", "fr", 5000)
+
+
 @query()
 def generator_coritn(spark: SparkSession, sf: str) -> DataFrame:
     return generate.pairs(spark, "coritn", "fr", 5000)
 
 
+@query()
+def generator_coritn_en(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.pairs(spark, "coritn", "en", 5000)
+
+
 @query()
 def generator_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
     return generate.pairs(spark, "paragraphes", "en", 5000)

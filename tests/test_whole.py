@@ -3,7 +3,9 @@
 import json
 import re
 
-from dictaspark.operators import pairs
+import pytest
+
+from dictaspark.operators import generate, pairs
 from dictaspark.plans import catalogue
 from tests.helpers import connection, same
 
@@ -77,3 +79,11 @@ def test_bench_counts_shared_causes(spark, tmp_path):
     rows = [("a", "KO", ["boucle", "vide"]), ("a", "ko ", ["boucle"]), ("b", "KO", ["vide"]), ("b", "KO", ["vide"]), ("c", "KO", ["langue"]), ("c", "OK", []), ("d", None, ["boucle"]), ("e", "KO", ["langue"]), ("e", "KO", None)]
     sf = written(spark, tmp_path, "qc_verdicts", rows, "id string, verdict string, causes array<string>")
     assert [r.asDict() for r in agrees(spark, sf, "binary_bench_causes")] == [{"n": 5, "agree": 3, "missed_ko": 0, "false_ko": 1, "cause_agree": 1}]
+
+
+@pytest.mark.parametrize("group,lang", sorted(generate.WEIGHTS))
+def test_generators_fill_quotas(spark, group, lang):
+    weights = generate.WEIGHTS[(group, lang)]
+    counts = {r["file"].split("-", 1)[1]: r["count"] for r in generate.pairs(spark, group, lang, 5000).groupBy("file").count().collect()}
+    assert counts == generate.quotas(weights, 5000) and sum(counts.values()) == 5000
+    assert all(abs(counts[f] / 5000 - w / sum(weights.values())) < 0.01 for f, w in weights.items())
