@@ -43,6 +43,16 @@ def evaluation_units(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.evaluation_units(units, F.col("id").endswith("3")).select("id", "control")
 
 
+@query(f"""WITH {_JUDGED}, l AS (SELECT id, coalesce(nullif(lower(trim(lang)), ''), 'fr') AS lang, regexp_split_to_array(id, '[_-]')[1] AS file FROM j WHERE verdict = 'OK'),
+h AS (SELECT id, lang, count(*) OVER p AS n, row_number() OVER (PARTITION BY file ORDER BY md5('units|' || id), id) AS r FROM l WINDOW p AS (PARTITION BY file))
+SELECT id, '[Styling: semi-formal] [Structure: prose] [Context: general] [Lang: ' || lang || ']' AS control FROM h WHERE r <= greatest(1, floor(0.08 * n)) ORDER BY md5('eval|' || id), id LIMIT 80""")
+def evaluation_units_held(spark: SparkSession, sf: str) -> DataFrame:
+    """``evaluation_units`` from the units that the family hold-out sets aside: 8 % of each file."""
+    units = pipeline.prepare_units(table(spark, sf, "asr_takes"), table(spark, sf, "qc_verdicts"))
+    held = sample.sample_per_group(units.select("id", "file", "lang"), ["file"], "id", "units", 0.08)
+    return pipeline.evaluation_units(held, F.lit(True)).select("id", "control")
+
+
 @query()
 def qc_pass(spark: SparkSession, sf: str) -> DataFrame:
     """Judgement of pending takes by a stub model, and the causes it names."""

@@ -43,7 +43,17 @@ def sign_z(spark: SparkSession, sf: str) -> DataFrame:
 SELECT count(*) AS cases, count(*) FILTER (direct = inverse) AS hard, count(*) FILTER (direct = 2 AND inverse = 2) AS ties FROM d WHERE inverse < 3""")
 def mirror_consistency(spark: SparkSession, sf: str) -> DataFrame:
     """Cases seen in both orders; a case with one side dropped (here: verdict 3, or every ninth document) does not count."""
-    docs = table(spark, sf, "documents").filter("doc_id % 9 <> 0").select("doc_id")
+    return _mirrored(table(spark, sf, "documents").filter("doc_id % 9 <> 0").select("doc_id"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_H.format('m1')} % 3 AS direct, {_H.format('m2')} % 4 AS inverse FROM documents)
+SELECT count(*) AS cases, count(*) FILTER (direct = inverse) AS hard, count(*) FILTER (direct = 2 AND inverse = 2) AS ties FROM d WHERE inverse < 3""")
+def mirror_consistency_all(spark: SparkSession, sf: str) -> DataFrame:
+    """``mirror_consistency`` over every document; only a missing side (verdict 3) drops a case."""
+    return _mirrored(table(spark, sf, "documents").select("doc_id"))
+
+
+def _mirrored(docs: DataFrame) -> DataFrame:
     seen = docs.select("doc_id", F.lit("direct").alias("sens"), (t.hash_draw("m1", F.col("doc_id")) % 3).alias("v")).unionByName(
         docs.select("doc_id", F.lit("inverse").alias("sens"), (t.hash_draw("m2", F.col("doc_id")) % 4).alias("v"))).filter("v < 3")
     both = seen.groupBy("doc_id").pivot("sens", ["direct", "inverse"]).agg(F.first("v")).filter("direct is not null and inverse is not null")

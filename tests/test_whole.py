@@ -87,3 +87,9 @@ def test_generators_fill_quotas(spark, group, lang):
     counts = {r["file"].split("-", 1)[1]: r["count"] for r in generate.pairs(spark, group, lang, 5000).groupBy("file").count().collect()}
     assert counts == generate.quotas(weights, 5000) and sum(counts.values()) == 5000
     assert all(abs(counts[f] / 5000 - w / sum(weights.values())) < 0.01 for f, w in weights.items())
+
+
+def test_every_document_and_unit_counts(spark, sf):
+    whole, cut = (agrees(spark, sf, name)[0]["cases"] for name in ("mirror_consistency_all", "mirror_consistency"))
+    assert whole > cut
+    assert {r["id"][-1] for r in agrees(spark, sf, "evaluation_units_held")} - {"3"}
