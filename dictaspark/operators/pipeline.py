@@ -141,6 +141,6 @@ def rewrite_domains(text: Column, domains: tuple[str, ...] = ("example.com", "ex
 
 
 def string_leaves(raw: Column) -> Column:
-    """Every string value of a JSON text, however deep: quoted strings that are no key."""
-    quoted = F.regexp_extract_all(raw, F.lit(r'"(?:[^"\\]|\\.)*"\s*:?'), F.lit(0))
+    """Every string value of a JSON text, however deep: quoted strings that are no key. Possessive, so strings of any length take no stack."""
+    quoted = F.regexp_extract_all(raw, F.lit(r'"(?:[^"\\]++|\\.)*+"(?:\s*+:)?+'), F.lit(0))
     return F.transform(F.filter(quoted, lambda q: q.endswith('"')), lambda q: F.get_json_object(F.concat(F.lit('{"v":'), q, F.lit("}")), "$.v"))

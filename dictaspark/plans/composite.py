@@ -249,7 +249,8 @@ def cosine_schedule(spark: SparkSession, sf: str) -> DataFrame:
     return spark.range(0, 1001, 50).withColumnRenamed("id", "s").select("s", F.when(s < 100, warm).otherwise(rest).alias("rate"))
 
 
-@query()
+@query("""SELECT row_id, unnest(range(len(v)))::INT AS place, unnest(v) AS leaf FROM (
+SELECT row_id, list_filter([id, dirty, clean, control], lambda x: x IS NOT NULL) AS v FROM contribs)""")
 def string_leaves(spark: SparkSession, sf: str) -> DataFrame:
     """Every string of a nested JSON record."""
     raw = F.to_json(F.struct("id", F.struct("dirty", F.array("clean", "control").alias("more")).alias("inner")))

@@ -1,5 +1,6 @@
 """Operators against brute force and hand-made cases."""
 
+import json
 import random
 
 import pytest
@@ -207,6 +208,9 @@ def test_pipeline(spark):
     raw = '{"a":"x \\"q\\" y","b":{"c":["é","z: w"],"d":3}}'
     got = spark.createDataFrame([(raw,)], "r string").select(pipeline.string_leaves(F.col("r")).alias("l")).first()["l"]
     assert got == ['x "q" y', "é", "z: w"]
+    long = "long \\n words " * 70_000
+    got = spark.createDataFrame([(json.dumps({"k": [long, " x"]}, indent=1),)], "r string").select(pipeline.string_leaves(F.col("r")).alias("l")).first()["l"]
+    assert got == [long, " x"]
     assert one(spark, "à jean.dupont@orange.fr et x", lambda c: pipeline.rewrite_domains(c)).startswith("à jean.dupont@example.")
     a, b = F.array(*map(F.lit, ["1", "1", "2"])), F.array(*map(F.lit, ["1", "3"]))
     assert spark.range(1).select(pipeline.multiset_minus(a, b).alias("x")).first()["x"] == ["1", "2"]
