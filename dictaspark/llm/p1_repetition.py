@@ -2,21 +2,26 @@
 
 Method: every run of four words is hashed to one of ``BUCKETS`` buckets, apart for its
 first and its later occurrences in a document. Two multinomials over these features are
-counted over all rows: the trusted target (texts known not to loop) and the raw corpus.
-A document's score is the log-likelihood ratio raw against target, divided by its number
-of runs. A later occurrence has a large ratio, a first one a ratio near zero, so the
-score follows the share of repeated runs. The threshold is derived, not tuned: a
-document with a share s of repeated words has at least s/4 of its runs repeated, which
-bounds its score from below by the smallest ratios of the tables. Documents at or above
-the bound are then measured exactly.
-
-Defined results: null and wordless texts have 0 words and share 0.0; fewer than four
-words cannot repeat; whole texts of any length are read; repeated rows give repeated
-results; an empty table gives an empty result.
+counted over all rows: the raw corpus, and the trusted target, for which every text that
+holds a repeated run is left out. Both are interpolated with a prior, the pooled share of
+the bucket times the model's rate of repeats, so that buckets seen seldom say little;
+the target's rate of repeats, none by construction, is set to ``TRUST`` of the raw one. A
+document's score is the log-likelihood ratio raw against target over its number of runs,
+the ratio of first occurrences being held within a range. Every document is thresholded:
+the bound is derived, not tuned. A document with a share s of repeated words has at least
+s/4 of its runs repeated, and the ratio of repeats has a least value by the interpolation,
+so no such document scores below the bound, while texts that do not loop do. Documents at
+or above the bound are candidates; the exact share decides among them.
+
+Defined results: null and wordless texts have 0 words, score 0.0 and share 0.0 and are no
+candidates; fewer than four words cannot repeat; whole texts of any length are read; the
+share is exact for every row, candidate or not; repeated rows give repeated results; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -28,8 +33,13 @@ from pyspark.sql import functions as F
 from dictaspark.session import ship, spread
 
 N = 4
-BUCKETS = 64
+BUCKETS = 1 << 14
 SHARE = 0.4
+TRUST = 0.01
+MIXED = 0.5
+_LEAST = math.log(1 / TRUST)
+#: First occurrences count within this range, so that the bound stays above 0.
+RANGE = _LEAST * SHARE / N / 2
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -84,18 +94,33 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     raw, target = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * BUCKETS, np.int64)
     for pdf in batches:
-        for column, counts in (("raw", raw), ("target", target)):
-            counts += np.bincount(features(pdf[column].tolist())[2], minlength=2 * BUCKETS)
-    yield pd.DataFrame({"feature": np.arange(2 * BUCKETS), "raw": raw, "target": target})
+        raw += np.bincount(features(pdf["raw"].tolist())[2], minlength=2 * BUCKETS)
+        texts = pdf["target"].tolist()
+        _, doc, feature = features(texts)
+        loops = np.bincount(doc, feature >= BUCKETS, len(texts)) > 0
+        target += np.bincount(feature[~loops[doc]], minlength=2 * BUCKETS)
+    seen = np.flatnonzero(raw + target)
+    yield pd.DataFrame({"feature": seen, "raw": raw[seen], "target": target[seen]})
 
 
 def ratios(counts: DataFrame) -> np.ndarray:
-    """Log ratio raw against target of each feature, add-one smoothed; two numbers a feature reach the driver."""
-    raw, target = np.ones(2 * BUCKETS), np.ones(2 * BUCKETS)
+    """Log ratio raw against target of each feature; at most ``2 * BUCKETS`` rows reach the driver."""
+    raw, target = np.zeros(2 * BUCKETS), np.zeros(2 * BUCKETS)
     for r in counts.groupBy("feature").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
-        raw[r["feature"]] += r["raw"]
-        target[r["feature"]] += r["target"]
-    return np.log(raw / raw.sum()) - np.log(target / target.sum())
+        raw[r["feature"]] = r["raw"]
+        target[r["feature"]] = r["target"]
+    return log_ratios(raw, target)
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Ratios of interpolated multinomials; that of a repeat is at least ``log(1 / TRUST)``, that of a first within ``RANGE``."""
+    pooled = (raw + target).reshape(2, BUCKETS).sum(0) + 1.0
+    pooled /= pooled.sum()
+    again = (raw[BUCKETS:].sum() + 0.5) / (raw.sum() + 1.0)
+    prior = lambda rate: np.concatenate([(1 - rate) * pooled, rate * pooled])
+    mix = lambda n, rate: (1 - MIXED) * n / max(1.0, n.sum()) + MIXED * prior(rate)
+    ratio = np.log(mix(raw, again)) - np.log(mix(target, again * TRUST))
+    return np.concatenate([np.clip(ratio[:BUCKETS], -RANGE, RANGE), np.maximum(ratio[BUCKETS:], _LEAST)])
 
 
 def bound(ratio: np.ndarray, share: float) -> float:
@@ -120,7 +145,7 @@ def _score(ratio: np.ndarray, least: float):
             candidate = (score >= least) & (count > 0)
             share = np.zeros(len(texts))
             again = np.bincount(doc, feature >= BUCKETS, len(texts)) > 0
-            for k in np.flatnonzero(candidate & again):
+            for k in np.flatnonzero(again):
                 words = words_of(texts[k])
                 share[k] = repeated_words(runs(words)) / len(words)
             yield pd.DataFrame({"row_id": pdf["row_id"], "words": length, "score": score, "candidate": candidate, "share": share})
@@ -129,15 +154,11 @@ def _score(ratio: np.ndarray, least: float):
 
 
 def repetition(rows: DataFrame, row_id: str = "row_id", raw: str = "dirty", target: str = "clean", share: float = SHARE) -> DataFrame:
-    """``(row_id, words, score, candidate, share)``: share is exact for candidates and 0.0 below the bound.
-
-    With ``share=0`` the bound keeps every document with a repeated run that scores no less
-    than any document could, so that all shares are exact.
-    """
+    """``(row_id, words, score, candidate, share)``: candidates score at or above the bound for ``share``; shares are exact."""
     ship(rows.sparkSession)
     pair = spread(rows.select(F.col(row_id).alias("row_id"), F.col(raw).alias("raw"), F.col(target).alias("target")))
     counts = pair.select("raw", "target").mapInPandas(_count, "feature int, raw bigint, target bigint")
     ratio = ratios(counts)
-    least = bound(ratio, share) if share > 0 else -float("inf")
+    least = bound(ratio, share)
     return pair.select("row_id", "raw").mapInPandas(
         _score(ratio, least), "row_id bigint, words int, score double, candidate boolean, share double")

@@ -10,12 +10,12 @@ from dictaspark.session import table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p1_repetition.repetition(table(spark, sf_dir, "contribs")).filter(F.col("share") >= p1_repetition.SHARE).select("row_id")
+    return p1_repetition.repetition(table(spark, sf_dir, "contribs")).filter(F.col("candidate") & (F.col("share") >= p1_repetition.SHARE)).select("row_id")
 
 
 def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = p1_repetition.repetition(table(spark, sf_dir, "contribs"), share=0.0)
-    return out.select("row_id", "words", F.round("score", 6).alias("score"), F.round("share", 6).alias("share"))
+    out = p1_repetition.repetition(table(spark, sf_dir, "contribs"))
+    return out.select("row_id", "words", "candidate", F.round("score", 6).alias("score"), F.round("share", 6).alias("share"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +89,11 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_mixing.shares(*_sized(spark, sf_dir))
 
 
+def p8_tempered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix at the one exponent that keeps all sources within their limits."""
+    return p8_mixing.shares(*_sized(spark, sf_dir), share_out=False)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = p9_abuse.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels"))
     return scores.filter(F.col("score") >= p9_abuse.CUT).select("doc_id")
@@ -111,7 +116,7 @@ def queries() -> dict:
         "p5_found": p5_found, "p5_tags": p5_tags,
         "p6_found": p6_found, "p6_splits": p6_splits_by_row,
         "p7_found": p7_found, "p7_candidates": p7_candidates,
-        "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares,
+        "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_tempered": p8_tempered,
         "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates,
     }
 

@@ -35,8 +35,8 @@ def test_repetition_against_brute_force(spark):
     rows += [(900, None, None, 0.0), (901, "", "", 0.0), (902, "a b c d " * 5000, None, 0.0), (903, "one two three", None, 0.0), (902, "a b c d " * 5000, None, 0.0)]
     df = spark.createDataFrame(rows, "row_id bigint, dirty string, clean string, score double")
     want = sorted(r[0] for r in rows if share(r[1]) >= 0.4)
-    assert sorted(r["row_id"] for r in p1.repetition(df).filter("share >= 0.4").collect()) == want
-    exact = {r["row_id"]: r["share"] for r in p1.repetition(df, share=0.0).collect()}
+    assert sorted(r["row_id"] for r in p1.repetition(df).filter("candidate and share >= 0.4").collect()) == want
+    exact = {r["row_id"]: r["share"] for r in p1.repetition(df).collect()}
     assert all(abs(exact[r[0]] - share(r[1])) < 1e-9 for r in rows)
     assert p1.repetition(df.limit(0)).count() == 0
 
@@ -44,16 +44,24 @@ def test_repetition_against_brute_force(spark):
 def test_repetition_on_data(spark, sf):
     rows = table(spark, sf, "contribs")
     want = {r["row_id"] for r in rows.select("row_id", "dirty").collect() if share(r["dirty"]) >= 0.4}
-    assert {r["row_id"] for r in p1.repetition(rows).filter("share >= 0.4").collect()} == want
+    assert {r["row_id"] for r in p1.repetition(rows).filter("candidate and share >= 0.4").collect()} == want
 
 
 def test_bound_is_a_bound():
     rng = np.random.default_rng(2)
     for _ in range(50):
-        ratio = np.concatenate([rng.normal(0, 0.1, p1.BUCKETS), rng.normal(2, 1, p1.BUCKETS)])
+        raw, target = rng.integers(0, 9, 2 * p1.BUCKETS), np.concatenate([rng.integers(0, 9, p1.BUCKETS), np.zeros(p1.BUCKETS, int)])
+        ratio = p1.log_ratios(raw * 1.0, target * 1.0)
         q = rng.uniform(0.1, 1)
         score = q * ratio[p1.BUCKETS :].min() + (1 - q) * ratio[: p1.BUCKETS].min()
-        assert score >= p1.bound(ratio, 0.4)
+        assert score >= p1.bound(ratio, 0.4) > 0
+
+
+def test_the_ratio_turns_documents_away(spark, sf):
+    """Most documents without loops, and some with few, score below the bound; without the ratio of repeats no loop is found."""
+    out = p1.repetition(table(spark, sf, "contribs"))
+    n, kept, low = out.agg(F.count("*"), F.count_if("candidate"), F.count_if(F.expr("share > 0 and not candidate"))).first()
+    assert 0 < kept < n / 2 and low > 0
 
 
 # --- personal data
@@ -229,19 +237,38 @@ def test_mixture_meets_targets(spark):
     docs = sized(spark, [(k, "abc"[k % 3 if k % 2 else 0], rng.randrange(5, 50)) for k in range(3000)])
     targets = spark.createDataFrame([("a", 0.4, 1), ("B ", 0.3, 3), ("c", 0.3, 1)], "source_name string, target_share double, max_repeats int")
     rows = {r["source_name"]: r for r in p8.shares(docs, targets).collect()}
-    assert abs(rows["a"]["reached_share"] - 0.4) < 0.002 and abs(rows["b"]["reached_share"] - 0.3) < 0.002
+    assert all(abs(r["reached_share"] - r["weight"]) < 0.002 for r in rows.values())
+    assert abs(rows["a"]["weight"] / rows["b"]["weight"] - 4 / 3) < 0.01 and abs(sum(r["reached_share"] for r in rows.values()) - 1) < 0.005
     assert rows["c"]["missed"] and [r["source_name"] for r in p8.shortfalls(docs, targets).collect()] == ["c"]
     mix = p8.mixture(docs, targets)
     assert mix.groupBy("source_name").agg(F.max("repeats").alias("m")).filter("(source_name = 'a' and m > 1) or (source_name = 'b' and m > 3)").count() == 0
     assert mix.select("doc_id").distinct().count() == mix.count()
 
 
-def test_exponent():
-    natural, target = {"a": 0.5, "b": 0.5}, {"a": 0.1, "b": 0.9}
-    assert p8.bisect_exponent(natural, target, {"a": 1.0, "b": 1.0}) == 1.0
-    a = p8.bisect_exponent(natural, target, {"a": 1.0, "b": 0.7})
-    q = {s: natural[s] * (target[s] / natural[s]) ** a for s in natural}
-    assert abs(q["b"] / sum(q.values()) - 0.7) < 1e-6
+def test_exponent_meets_the_limit():
+    natural, target = np.array([0.5, 0.5]), np.array([0.1, 0.9])
+    weight, own = p8.weights(natural, target, np.array([1.0, 1.0]))
+    assert np.allclose(weight, target) and (own == 1.0).all()
+    for share_out in (True, False):
+        weight, own = p8.weights(natural, target, np.array([1.0, 0.7]), share_out=share_out)
+        assert np.allclose(weight, [0.3, 0.7], atol=1e-6) and 0 < own[1] < 1
+    assert abs(p8.entropy_of(p8.weights(np.array([0.7, 0.2, 0.1]), np.array([0.3, 0.3, 0.4]), np.full(3, 9.0), entropy=1.0)[0]) - 1.0) < 1e-6
+
+
+def test_weights_against_filled_targets():
+    """With sharing out, weights are the targets raised by one factor and held at the limits, whatever the path."""
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        n = int(rng.integers(1, 12))
+        natural, target, repeats = rng.dirichlet(np.ones(n)), rng.dirichlet(np.ones(n)), rng.integers(1, 5, n)
+        limit = natural * repeats
+        low, high = 0.0, 1e9
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if np.minimum(limit, mid * target).sum() < 1 else (low, mid)
+        assert np.abs(p8.weights(natural, target, limit)[0] - np.minimum(limit, high * target)).max() < 1e-4
+        single, own = p8.weights(natural, target, limit, share_out=False)
+        assert abs(single.sum() - 1) < 1e-9 and (single <= limit * (1 + 1e-6)).all() and len(set(own)) == 1
 
 
 def test_mixing_edges(spark):
