@@ -26,10 +26,12 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session; one of our own only where none is named."""
+    """The shared folder named by the session; one of our own only where none is named and all runs on this machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = getattr(context, "_dictaspark_checkpoints", None)
         if named is None:
             named = tempfile.mkdtemp(prefix="dictaspark-")
