@@ -3,8 +3,11 @@
 Method: rows are tied by normalised handle and source; the components of that graph
 start from a hashed assignment, then parallel annealing chains move or exchange whole
 components to lower the deviation of sizes and of labels, and the best chain is kept.
-The largest components are moved one by one; all smaller ones ride in hashed bundles,
-so a chain sees at most ``LARGEST + BUNDLES`` units whatever the input.
+The search has two levels. Components of more than one part in ``GIANT`` of all rows, of
+which there are fewer than ``GIANT`` whatever the data, are placed first, so that none
+overfills a split. All others are hashed into shards of about ``SHARD`` components, and
+every component of every shard is moved singly, towards what the giants left of each
+split; shards and chains run side by side, and their number grows with the data.
 
 Defined results: a null or blank handle or source, and the source ``unknown``, tie
 nothing; a row with neither is a component of its own; null labels count as a label;
@@ -27,10 +30,11 @@ from dictaspark.session import checkpoint, ship
 HANDLE = r"^(.+?)(?:-\d{14}-[0-9a-f]{6})?-\d{4}-\d{2}-\d+$"
 SPLITS = ("train", "validation", "test")
 SHARES = (0.8, 0.1, 0.1)
-LARGEST = 2000
-BUNDLES = 4096
+GIANT = 1000
+SHARD = 2000
 CHAINS = 8
-STEPS = 30_000
+LEAST_STEPS, STEPS_A_UNIT = 4000, 12
+PAIR_BLOCK = 256
 
 
 def handle_of(record_id: Column) -> Column:
@@ -53,22 +57,6 @@ def tied(rows: DataFrame, row_id: str, record_id: str, source: str, label: str)
         F.concat(F.lit("h:"), "handle"), F.concat(F.lit("s:"), "src"), F.concat(F.lit("r:"), F.col("row_id").cast("string"))))
 
 
-def components(ties: DataFrame) -> DataFrame:
-    """``(tie, component)`` of every node that stands for rows."""
-    kinds = ties.groupBy("tie", "src").agg(F.count("*").alias("n"))
-    edges = kinds.select(F.col("tie").alias("u"), F.coalesce(F.concat(F.lit("s:"), "src"), "tie").alias("v"))
-    return connected_components(edges).select(F.col("node").alias("tie"), F.col("root").alias("component"))
-
-
-def _cost(sizes: list[list[float]], goal: list[list[float]], total: float) -> float:
-    """Sum over splits of size deviation plus, lighter, label deviation, in shares of all rows."""
-    cost = 0.0
-    for have, want in zip(sizes, goal):
-        cost += abs(sum(have) - sum(want))
-        cost += 0.25 * sum(abs(a - b) for a, b in zip(have, want))
-    return cost / total
-
-
 def _start(key: str) -> int:
     at, draw = 0, random.Random(f"split|{key}").random()
     while at < len(SHARES) - 1 and draw >= SHARES[at]:
@@ -77,103 +65,137 @@ def _start(key: str) -> int:
     return at
 
 
-def anneal(units: list[tuple[str, tuple[float, ...]]], chain: int, steps: int = STEPS) -> tuple[float, list[int]]:
-    """Best cost and assignment found by one chain; chain 0 keeps the hashed start's seed."""
+Unit = tuple[str, dict[str, float]]
+
+
+def anneal(units: list[Unit], chain: int, shares: tuple[float, ...] = SHARES, room: list[float] | None = None, steps: int | None = None) -> tuple[float, list[int]]:
+    """Best cost and assignment of one chain: deviation of sizes plus, lighter, of labels, in shares of all rows.
+
+    With ``room`` only what exceeds the room of a split costs, as smaller units will fill the rest.
+    """
     if not units:
         return 0.0, []
-    width = len(units[0][1])
-    weight = [sum(x) for _, x in units]
+    weight = [sum(x.values()) for _, x in units]
     total = sum(weight) or 1.0
-    by_label = [sum(x[k] for _, x in units) for k in range(width)]
-    goal = [[share * n for n in by_label] for share in SHARES]
+    by_label: dict[str, float] = {}
+    for _, x in units:
+        for label, n in x.items():
+            by_label[label] = by_label.get(label, 0.0) + n
+    goal = [share * total for share in shares] if room is None else room
+    steps = max(LEAST_STEPS, STEPS_A_UNIT * len(units)) if steps is None else steps
     place = [_start(key) for key, _ in units]
-    sizes = [[0.0] * width for _ in SPLITS]
-    for at, (_, x) in zip(place, units):
-        for k in range(width):
-            sizes[at][k] += x[k]
-    rng = random.Random(f"chain|{chain}")
-
-    def part(s: int) -> float:
-        return abs(sum(sizes[s]) - sum(goal[s])) + 0.25 * sum(abs(a - b) for a, b in zip(sizes[s], goal[s]))
-
-    def shift(unit: int, to: int) -> None:
-        at, x = place[unit], units[unit][1]
-        for k in range(width):
-            sizes[at][k] -= x[k]
-            sizes[to][k] += x[k]
+    sizes = [0.0] * len(shares)
+    labels: list[dict[str, float]] = [{label: -share * n for label, n in by_label.items()} for share in shares]
+
+    def size_cost(s: int) -> float:
+        over = sizes[s] - goal[s]
+        return abs(over) if room is None else max(0.0, over)
+
+    def shift(unit: int, to: int) -> float:
+        """Moves a unit and gives the change of cost."""
+        at = place[unit]
+        change = -size_cost(at) - size_cost(to)
+        sizes[at] -= weight[unit]
+        sizes[to] += weight[unit]
+        change += size_cost(at) + size_cost(to)
+        a, b = labels[at], labels[to]
+        for label, n in units[unit][1].items():
+            change += 0.25 * (abs(a[label] - n) - abs(a[label]) + abs(b[label] + n) - abs(b[label]))
+            a[label] -= n
+            b[label] += n
         place[unit] = to
+        return change
 
-    now = _cost(sizes, goal, total)
+    for at, w, (_, x) in zip(place, weight, units):
+        sizes[at] += w
+        for label, n in x.items():
+            labels[at][label] += n
+    now = sum(size_cost(s) + 0.25 * sum(map(abs, labels[s].values())) for s in range(len(shares)))
+    rng = random.Random(f"chain|{chain}")
     best, kept = now, list(place)
     for step in range(steps):
-        heat = 0.02 * math.exp(-8.0 * step / steps)
+        heat = 0.02 * total * math.exp(-8.0 * step / steps)
         i = rng.randrange(len(units))
+        was = place[i]
         if step % 2 or len(units) < 2:
-            to = rng.randrange(len(SPLITS))
-            moves = [(i, place[i], to)]
+            to = rng.randrange(len(shares))
+            if to == was:
+                continue
+            change, back = shift(i, to), [(i, was)]
         else:
             j = rng.randrange(len(units))
-            moves = [(i, place[i], place[j]), (j, place[j], place[i])]
-        if all(a == b for _, a, b in moves):
-            continue
-        touched = {s for _, a, b in moves for s in (a, b)}
-        before = sum(part(s) for s in touched)
-        for unit, _, to in moves:
-            shift(unit, to)
-        change = (sum(part(s) for s in touched) - before) / total
+            if place[j] == was:
+                continue
+            other = place[j]
+            change = shift(i, other) + shift(j, was)
+            back = [(j, other), (i, was)]
         if change <= 0 or rng.random() < math.exp(-change / heat):
             now += change
-            if now < best - 1e-12:
+            if now < best - 1e-9 * total:
                 best, kept = now, list(place)
         else:
-            for unit, back, _ in reversed(moves):
-                shift(unit, back)
-    return best, kept
+            for unit, home in back:
+                shift(unit, home)
+    return best / total, kept
+
+
+def _chain(shares: tuple[float, ...], room: list[float] | None):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("component")
+        units = [(u, {str(x["label"]): float(x["n"]) for x in counts}) for u, counts in zip(pdf["component"], pdf["labels"])]
+        cost, place = anneal(units, int(pdf["chain"].iloc[0]), shares, room)
+        return pd.DataFrame({"shard": pdf["shard"], "chain": pdf["chain"], "component": pdf["component"], "cost": cost, "split": [SPLITS[k] for k in place]})
 
+    return run
 
-def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("unit")
-    labels = sorted({str(name) for counts in pdf["labels"] for name in counts})
-    units = [(u, tuple(float(counts.get(k, 0)) for k in labels)) for u, counts in zip(pdf["unit"], pdf["labels"])]
-    cost, place = anneal(units, int(pdf["chain"].iloc[0]))
-    return pd.DataFrame({"chain": pdf["chain"], "unit": pdf["unit"], "cost": cost, "split": [SPLITS[k] for k in place]})
+
+def _search(units: DataFrame, shards: int, shares: tuple[float, ...], room: list[float] | None = None) -> DataFrame:
+    """``(component, split)`` by the best chain of each shard; a shard and chain is one task's group."""
+    tries = units.withColumn("chain", F.explode(F.sequence(F.lit(0), F.lit(CHAINS - 1)))).repartition(CHAINS * shards, "shard", "chain")
+    tried = checkpoint(tries.groupBy("shard", "chain").applyInPandas(_chain(shares, room), "shard int, chain int, component string, cost double, split string"))
+    best = tried.groupBy("shard").agg(F.min_by("chain", F.struct("cost", "chain")).alias("chain"))
+    return tried.join(best, ["shard", "chain"]).select("component", "split")
+
+
+def place(comps: DataFrame, total: int) -> DataFrame:
+    """``(component, split)`` of every component of ``comps(component, n, labels)``."""
+    giants = comps.filter(F.col("n") * GIANT > total).withColumn("shard", F.lit(0))
+    rest = comps.filter(F.col("n") * GIANT <= total)
+    placed = checkpoint(_search(giants, 1, SHARES, [share * total for share in SHARES]))
+    taken = {r["split"]: r["n"] for r in placed.join(giants, "component").groupBy("split").agg(F.sum("n").alias("n")).collect()}
+    left = [max(0.0, share * total - taken.get(name, 0)) for share, name in zip(SHARES, SPLITS)]
+    shares = tuple(x / sum(left) for x in left) if sum(left) else SHARES
+    shards = max(1, math.ceil(rest.count() / SHARD))
+    small = rest.withColumn("shard", F.pmod(F.xxhash64("component"), F.lit(shards)).cast("int"))
+    return placed.unionByName(_search(small, shards, shares))
 
 
 def assign(rows: DataFrame, row_id: str = "row_id", record_id: str = "id", source: str = "source", label: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """``(row_id, component, split)`` of every row, and ``(tie, component)``."""
+    """``(row_id, component, split)`` of every row, and ``(tie, component, split, n)`` of every node that stands for rows."""
     ship(rows.sparkSession)
     ties = tied(rows, row_id, record_id, source, label)
     counted = checkpoint(ties.groupBy("tie", "src", F.coalesce("label", F.lit("?")).alias("label")).agg(F.count("*").alias("n")))
-    kinds = counted.select("tie", "src", "label", "n")
-    edges = kinds.select(F.col("tie").alias("u"), F.coalesce(F.concat(F.lit("s:"), "src"), "tie").alias("v")).distinct()
+    edges = counted.select(F.col("tie").alias("u"), F.coalesce(F.concat(F.lit("s:"), "src"), "tie").alias("v")).distinct()
     nodes = checkpoint(connected_components(edges).select(F.col("node").alias("tie"), F.col("root").alias("component")))
-    sized = counted.groupBy("tie", "label").agg(F.sum("n").alias("n")).join(nodes, "tie")
-    # labels beyond the most frequent few are one label, so that a unit stays small
-    top = [r["label"] for r in counted.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(8).collect()]
-    sized = sized.withColumn("label", F.when(F.col("label").isin(top), F.col("label")).otherwise("other"))
-    parts = sized.groupBy("component", "label").agg(F.sum("n").alias("n"))
-    comps = checkpoint(parts.groupBy("component").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("labels")))
-    largest = comps.orderBy(F.desc("n"), "component").limit(LARGEST).select("component", F.lit(True).alias("own"))
-    unit = comps.join(F.broadcast(largest), "component", "left").withColumn(
-        "unit", F.when(F.col("own"), F.concat(F.lit("c:"), "component")).otherwise(
-            F.concat(F.lit("b:"), F.pmod(F.xxhash64("component"), F.lit(BUNDLES)).cast("string"))))
-    unit = checkpoint(unit.select("component", "unit", "n", "labels"))
-    bundles = unit.select("unit", F.explode("labels").alias("label", "n")).groupBy("unit", "label").agg(F.sum("n").alias("n"))
-    bundles = bundles.groupBy("unit").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("labels"))
-    chains = bundles.withColumn("chain", F.explode(F.sequence(F.lit(0), F.lit(CHAINS - 1))))
-    tried = checkpoint(chains.groupBy("chain").applyInPandas(_chain, "chain int, unit string, cost double, split string"))
-    best = tried.groupBy("unit").agg(F.min_by("split", F.struct("cost", "chain")).alias("split"))
-    chosen = unit.join(best, "unit").select("component", "split")
-    weights = counted.groupBy("tie").agg(F.sum("n").alias("n"))
-    total = weights.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    placed = checkpoint(weights.join(nodes, "tie").join(chosen, "component"))
+    labelled = checkpoint(counted.groupBy("tie", "label").agg(F.sum("n").alias("n")).join(nodes, "tie"))
+    parts = labelled.groupBy("component", "label").agg(F.sum("n").alias("n"))
+    comps = checkpoint(parts.groupBy("component").agg(F.sum("n").alias("n"), F.collect_list(F.struct("label", "n")).alias("labels")))
+    total = comps.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    weights = labelled.groupBy("tie", "component").agg(F.sum("n").alias("n"))
+    placed = checkpoint(weights.join(place(comps, total), "component").select("tie", "component", "split", "n"))
     keyed = ties.select("row_id", "tie")
-    return join_hot_split(keyed, placed, ["tie"], "n", total).select("row_id", "component", "split"), nodes
+    return join_hot_split(keyed, placed, ["tie"], "n", total).select("row_id", "component", "split"), placed
+
 
+def tied_handles(placed: DataFrame) -> DataFrame:
+    """Pairs of different handles that the search moved together, smaller first.
 
-def tied_handles(nodes: DataFrame) -> DataFrame:
-    """Pairs of different handles in one component, smaller first."""
-    handles = nodes.filter(F.col("tie").startswith("h:")).select("component", F.substring("tie", 3, 1 << 30).alias("handle"))
-    left = handles.select("component", F.col("handle").alias("handle_a"))
-    right = handles.select("component", F.col("handle").alias("handle_b"))
-    return left.join(right, "component").filter("handle_a < handle_b").select("handle_a", "handle_b")
+    The result holds every pair, as its definition asks. One side of a component is dealt
+    out in blocks of ``PAIR_BLOCK`` handles, so that no task meets all pairs of a large one.
+    """
+    handles = placed.filter(F.col("tie").startswith("h:")).select("component", "split", F.substring("tie", 3, 1 << 30).alias("handle"))
+    sizes = handles.groupBy("component", "split").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("int").alias("blocks"), F.count("*").alias("handles")).filter("handles > 1")
+    known = handles.join(sizes.drop("handles"), ["component", "split"])
+    left = known.select("component", "split", F.pmod(F.xxhash64("handle"), F.col("blocks")).cast("int").alias("block"), F.col("handle").alias("handle_a"))
+    right = known.select("component", "split", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("handle").alias("handle_b"))
+    return left.join(right, ["component", "split", "block"]).filter("handle_a < handle_b").select("handle_a", "handle_b")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dictaspark.llm import p1_repetition, p2_packing, p3_duplicates, p4_personal, p5_pairs, p6_splits, p7_leaks, p8_mixing, p9_abuse
 from dictaspark.session import table
@@ -64,6 +65,16 @@ def p6_splits_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_splits.assign(table(spark, sf_dir, "contribs"))[0].select("row_id", "split")
 
 
+def p6_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and share of every split, over all and by label."""
+    rows = table(spark, sf_dir, "contribs")
+    labels = rows.select("row_id", F.coalesce(F.lower(F.trim("lang")), F.lit("?")).alias("label"))
+    placed = p6_splits.assign(rows)[0].join(labels, "row_id")
+    counts = placed.groupBy("label", "split").agg(F.count("*").alias("rows"))
+    both = counts.unionByName(counts.groupBy("split").agg(F.sum("rows").alias("rows")).withColumn("label", F.lit("all")))
+    return both.withColumn("share", F.col("rows") / F.sum("rows").over(Window.partitionBy("label")))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).filter("verbatim").select("doc_id", "item_id")
 
@@ -114,7 +125,7 @@ def queries() -> dict:
         "p3_found": p3_found, "p3_records": p3_records,
         "p4_found": p4_found, "p4_redacted": p4_redacted,
         "p5_found": p5_found, "p5_tags": p5_tags,
-        "p6_found": p6_found, "p6_splits": p6_splits_by_row,
+        "p6_found": p6_found, "p6_splits": p6_splits_by_row, "p6_deviation": p6_deviation,
         "p7_found": p7_found, "p7_candidates": p7_candidates,
         "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_tempered": p8_tempered,
         "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates,

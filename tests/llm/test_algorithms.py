@@ -143,11 +143,21 @@ def test_split_shares_and_edges(spark):
 
 def test_annealing_improves_on_the_start():
     rng = random.Random(8)
-    units = [(f"u{k}", (float(rng.randrange(1, 50)), float(rng.randrange(0, 20)))) for k in range(200)]
-    assert p6_splits.anneal(units, 1, 8000)[0] < p6_splits.anneal(units, 1, 0)[0]
+    units = [(f"u{k}", {"en": float(rng.randrange(1, 50)), "fr": float(rng.randrange(0, 20))}) for k in range(200)]
+    assert p6_splits.anneal(units, 1, steps=8000)[0] < p6_splits.anneal(units, 1, steps=0)[0] / 10
     assert p6_splits.anneal([], 0) == (0.0, [])
 
 
+def test_a_giant_and_many_shards(spark, monkeypatch):
+    """A component of a third of all rows goes to train, and the others make up for it, in several shards."""
+    monkeypatch.setattr(p6_splits, "SHARD", 100)
+    rows = [(k, f"h{k % 997 if k % 3 else 'ot'}-2026-01-{k:03d}", None, "en" if k % 2 else "fr", None, None, None) for k in range(6000)]
+    placed, nodes = p6_splits.assign(contribs(spark, rows))
+    share = {r["split"]: r["count"] / 6000 for r in placed.groupBy("split").count().collect()}
+    assert abs(share["train"] - 0.8) < 0.02 and abs(share["test"] - 0.1) < 0.02
+    assert nodes.filter("tie = 'h:hot' and split = 'train'").count() == 1
+
+
 @pytest.mark.parametrize("text,n", [("", 1), ("é" * 700, 2), ("a" * 1200, 1), ("a" * 1201, 2)])
 def test_cut_counts(text, n):
     assert len(p2_packing.cut(text, 1200)) == n
