@@ -2,8 +2,9 @@
 
 Method: takes are hashed into shards of one language and about ``SHARD_BYTES`` of text.
 In a shard, an inverted index holds the BM25 weight of every term of every take; the
-longest unused take seeds a request, its retrieved unused neighbours fill the window
-greedily in order of score, and the largest unused takes that still fit close the gap.
+longest unused take seeds a request, its retrieved unused neighbours, found by all its
+terms, fill the window greedily in order of score, and the largest unused takes that
+still fit close the gap.
 Only a take above the capacity is cut, at the last white space that fits or else at a
 character boundary; its pieces, joined, give the take byte for byte.
 
@@ -14,20 +15,21 @@ gives an empty result. Sizes are UTF-8 bytes with one byte between two takes.
 
 from __future__ import annotations
 
-import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dictaspark.session import ship
+from dictaspark.session import checkpoint, ship
 
 CAPACITY = 1200
 SEPARATOR = 1
 SHARD_BYTES = 2_000_000
-QUERY_TERMS = 12
+AHEAD = 32
+MAX_BROADCAST = 10_000
 K1, B = 1.2, 0.75
 _WORD = re.compile(r"\w+")
 SCHEMA = "row_id bigint, lang string, request_id string, piece int, pieces int, slot int, start int, bytes int"
@@ -61,7 +63,7 @@ class _Index:
         self.n = len(texts)
         flat = [w for ws in words for w in ws]
         if not flat:
-            self.of, self.starts = [np.empty(0, np.int64)] * self.n, np.zeros(1, np.int64)
+            self.of, self.starts, self.live = [np.empty(0, np.int64)] * self.n, np.zeros(1, np.int64), 0
             return
         codes, _ = pd.factorize(np.array(flat, dtype=object))
         doc = np.repeat(np.arange(self.n), length)
@@ -70,21 +72,37 @@ class _Index:
         df = np.bincount(term)
         idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * length / max(1.0, length.mean()))
-        self.doc, self.weight = doc, idf[term] * tf * (K1 + 1) / (tf + norm[doc])
+        self.doc, self.weight, self.term = doc, (idf[term] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32), term
         self.starts = np.concatenate(([0], np.cumsum(df)))
-        order = np.lexsort((-idf[term], doc))
+        order = np.argsort(doc, kind="stable")
         cuts = np.searchsorted(doc[order], np.arange(1, self.n))
         self.of = np.split(term[order], cuts)
-
-    def neighbours(self, seed: int, free: np.ndarray, size: np.ndarray, room: int) -> np.ndarray:
-        """Free items that share a rare term with the seed and fit, best first."""
-        terms = self.of[seed][:QUERY_TERMS]
+        self.live = self.n
+
+    def drop_used(self, free: np.ndarray) -> None:
+        """Leaves used items out of the lists once they are half of them."""
+        left = int(free.sum())
+        if self.live and left * 2 <= self.live:
+            kept = free[self.doc]
+            self.doc, self.weight, self.term = self.doc[kept], self.weight[kept], self.term[kept]
+            self.starts = np.concatenate(([0], np.cumsum(np.bincount(self.term, minlength=len(self.starts) - 1))))
+            self.live = left
+
+    def neighbours(self, seed: int, free: np.ndarray, size: np.ndarray, room: int) -> Iterator[int]:
+        """Free items that share a term with the seed and fit, best first; ties by place."""
+        terms = self.of[seed]
         if not len(terms):
-            return np.empty(0, np.int64)
+            return
         parts = [slice(self.starts[t], self.starts[t + 1]) for t in terms]
         score = np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), self.n)
         near = np.flatnonzero((score > 0) & free & (size <= room))
-        return near[np.argsort(-score[near], kind="stable")]
+        value = score[near]
+        if len(near) > 4 * AHEAD:  # the best few are ordered first, all others only if they are asked for
+            least = np.partition(value, -AHEAD)[-AHEAD]
+            top = near[value >= least]
+            yield from top[np.argsort(-score[top], kind="stable")].tolist()
+            near = near[value < least]
+        yield from near[np.argsort(-score[near], kind="stable")].tolist()
 
 
 def pack(texts: list[str], capacity: int = CAPACITY, separator: int = SEPARATOR) -> list[tuple[int, int, int, int, int, int, int]]:
@@ -135,15 +153,23 @@ def pack(texts: list[str], capacity: int = CAPACITY, separator: int = SEPARATOR)
         chosen, room = [seed], capacity - size[seed]
         free[seed] = False
         if room >= separator + smallest:
+            index.drop_used(free)
             for j in index.neighbours(seed, free, sizes, room - separator):
                 if size[j] + separator <= room:
-                    chosen.append(int(j))
+                    chosen.append(j)
                     free[j] = False
                     room -= size[j] + separator
                     if room < separator + smallest:
                         break
-                    if room < 2 * int(size[j]) and room < capacity // 3:
-                        break  # the rest is closed by best fit
+            # the last neighbour gives way to the largest unused take that fits its place
+            if room and len(chosen) > 1 and (j := largest(room + size[chosen[-1]])) >= 0 and size[j] > size[chosen[-1]]:
+                last = chosen.pop()
+                free[last] = True
+                stacks[size[last]].append(last)
+                mask |= 1 << size[last]
+                chosen.append(j)
+                free[j] = False
+                room += size[last] - size[j]
         while room >= separator + smallest and (j := largest(room - separator)) >= 0:
             chosen.append(j)
             free[j] = False
@@ -174,14 +200,10 @@ def pack_rows(rows: DataFrame, row_id: str = "row_id", text: str = "dirty", lang
     flat = rows.select(
         F.col(row_id).alias("row_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
         F.coalesce(F.nullif(F.lower(F.trim(F.col(lang))), F.lit("")), F.lit("und")).alias("lang"))
-    # a bounded number of languages is looked up; rarer ones share the largest shard count
-    weights = flat.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).orderBy(F.desc("bytes"), "lang").limit(200).collect()
-    shards = {w["lang"]: max(1, math.ceil((w["bytes"] or 0) / SHARD_BYTES)) for w in weights}
-    count = F.lit(max([1, *shards.values()]))
-    if shards:
-        table = F.create_map(*[F.lit(x) for pair in shards.items() for x in pair])
-        count = F.coalesce(F.try_element_at(table, F.col("lang")), count)
-    keyed = flat.withColumn("shard", F.pmod(F.xxhash64("row_id"), count).cast("int"))
+    # only a language of more than a shard's bytes needs its count looked up; all others fill one shard each
+    large = checkpoint(flat.groupBy("lang").agg(F.ceil(F.sum(F.octet_length("text")) / SHARD_BYTES).cast("int").alias("shards")).filter("shards > 1"))
+    table = F.broadcast(large) if large.count() <= MAX_BROADCAST else large
+    keyed = flat.join(table, "lang", "left").withColumn("shard", F.pmod(F.xxhash64("row_id"), F.coalesce("shards", F.lit(1))).cast("int")).drop("shards")
     return keyed.groupBy("lang", "shard").applyInPandas(_packer(capacity, separator), SCHEMA)
 
 
