@@ -313,15 +313,42 @@ def test_abuse_held_out_accuracy():
     noisy = [1 - y if k % 29 == 0 else y for k, y in enumerate(labels)]
     machine, masked = p9.fit(texts, noisy)
     test, truth = planted_docs(300, 2)
-    got = [int(machine.scores(p9.windows(p9.terms_of(t), masked)).max() > 0) for t in test]
+    got = (machine.best([p9.codes_of(p9.terms_of(t), masked) for t in test]) > 0).astype(int)
     assert sum(a == b for a, b in zip(got, truth)) / len(truth) > 0.97
 
 
+def test_interactions_decide():
+    """An insult with a group is abuse, one that is reported is not, though each word stands on both sides equally often."""
+    rng = random.Random(5)
+    calm = "the draft plan room table garden report cable budget letter music window river paper chair".split()
+
+    def doc(y):
+        insult, group = rng.choice(["vermin", "scum", "filth"]), rng.choice(["ostrines", "taloviens", "meshkari"])
+        report = rng.choice(["quoted", "minutes", "transcript"])
+        # both kinds of document hold an insult, a group and a report word; only what stands together differs
+        near, far = ([insult, group], [report]) if y else ([insult, report], [group])
+        pad = lambda n: [rng.choice(calm) for _ in range(n)]
+        return " ".join([*pad(12), *near, *pad(12), *far, *pad(12)])
+
+    y = [k % 2 for k in range(600)]
+    machine, masked = p9.fit([doc(k) for k in y], y)
+    test = [p9.codes_of(p9.terms_of(doc(k)), masked) for k in y]
+    right = lambda: np.mean((machine.best(test) > 0) == np.array(y))
+    with_factors = right()
+    machine.v[:] = 0
+    assert with_factors > 0.95 and right() < 0.7
+
+
 def test_machine_is_a_factorization_machine():
     m = p9.Machine()
-    part = np.array([3, 5, 9])
+    part = [3, 5, 9]
+    m.w[3] = 0.5
     want = m.b + m.w[part].sum() + sum(float(m.v[a] @ m.v[b]) for a, b in ((3, 5), (3, 9), (5, 9)))
-    assert abs(float(m.scores([part])[0]) - want) < 1e-5
+    assert abs(float(m.best([part])[0]) - want) < 1e-5
+    docs = [[], list(range(23)), [4], list(range(10))]
+    parts, owner = p9._windows([d for d in docs if d])
+    score, doc, _ = m.scores(docs)
+    assert [1, 1, 1, 1, 2, 3] == doc.tolist() and len(owner) == len(doc) and m.best(docs)[0] == -np.inf
 
 
 def test_abuse_rows(spark):
