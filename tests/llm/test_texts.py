@@ -239,7 +239,7 @@ def test_decomposition_is_singular(spark):
             row[term] = weight
             rows.append(row)
     full = np.linalg.svd(np.array(rows), compute_uv=False)
-    assert np.allclose(basis.T @ basis, np.eye(8), atol=1e-4) and np.allclose(value[:5], full[:5], rtol=0.02)
+    assert np.allclose(basis.T @ basis, np.eye(8), atol=1e-4) and np.allclose(value[:3], full[:3], rtol=0.02) and np.allclose(value, full[:8], rtol=0.1)
     assert np.allclose(np.linalg.norm(np.array(rows) @ basis[:, :3], axis=0), value[:3], rtol=0.02)
 
 
