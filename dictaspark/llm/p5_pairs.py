@@ -1,11 +1,17 @@
 """Broken prompt and response pairs: a conditional random field tags response clauses.
 
 Method: the response is cut into clauses; each gets features from its alignment with the
-prompt (longest common subsequence over words, number words and fillers left out), its
-language, refusal wording, verbatim spans and how much of the prompt is still to come
-after it. A linear-chain conditional random field, trained here on at most
-``SAMPLE_ROWS`` sampled pairs with planted defects, tags every clause as answer, refusal,
-echo, foreign or unfinished; the coverage of the tags, by words, makes the pair's defect.
+prompt (longest common subsequence over words, number words and fillers left out), the
+share of its words that are function words of the prompt's language or of another, its
+script, verbatim spans, how much of the prompt is still to come after it, and its words
+and pairs of words that the prompt does not hold, hashed. A linear-chain conditional
+random field tags every clause as answer, refusal, echo, foreign or unfinished; the
+coverage of the tags, by words, makes the pair's defect. It is trained here on at most
+``SAMPLE_ROWS`` sampled pairs: sound ones are left alone or given a defect, and responses
+that have next to nothing of the prompt though they speak its language are shown as the
+refusals they are. How refusals are worded is learned from these, not listed. Foreign
+responses are those of the other language and clauses ciphered into languages that do not
+exist, in several scripts, so that any language other than the prompt's is foreign.
 
 Defined results: a response that is null or without letters and digits is ``empty`` when
 the prompt has words other than fillers; a prompt without such words has no defect; a
@@ -17,7 +23,9 @@ from __future__ import annotations
 
 import random
 import re
+import unicodedata
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -30,7 +38,8 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 DEFECTS = ("empty", "truncated", "refusal", "copy", "other_language")
 SAMPLE_ROWS = 1200
 TO_COME = 1 / 3
-EPOCHS = 30
+EPOCHS = 12
+HASHED = 1 << 12
 
 FILLERS = frozenset("um uh er hmm euh bah ben hum".split())
 NUMBERS = frozenset(
@@ -47,9 +56,6 @@ FUNCTION_WORDS = {
     "pt": "os as um uma que não com para por mais como mas foi ao ele das tem seu sua ou quando muito nos já está eu também só pelo".split(),
     "nl": "het een van en niet is dat op te zijn voor met die er aan ook als maar om bij nog uit wat dan we hij".split(),
 }
-REFUSALS = frozenset(
-    "sorry unfortunately apologize apologies cannot unable decline guidelines assistant language tool refuse rephrase request assist private help able possible rewrite content policy comply "
-    "désolé désolée malheureusement excuses excuse refuser refuse assistant impossible saurais reformuler demande privées données contenu droit traiter produire réécrire enregistrement transcription fournir autorisé".split())
 _WORD = re.compile(r"[^\W_]+")
 _CLAUSE = re.compile(r"[^.!?…\n]+[.!?…\n]*")
 _LANG_OF = {}
@@ -120,14 +126,45 @@ def to_come(grown: int, n: int) -> float:
     return 1 - (places[k] + 1) / n if places else 1.0
 
 
-FEATURES = 16
+FEATURES = 15
+_SCRIPTS: dict[str, str] = {}
 
 
-def clauses_of(dirty: str, clean: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """Per clause of the response: features (clauses x FEATURES) and words; and the pair's (to come, reached, verbatim)."""
+def script_of(letter: str) -> str:
+    """Latin, Greek, Cyrillic, CJK and the like, by the letter's name."""
+    if letter not in _SCRIPTS:
+        _SCRIPTS[letter] = unicodedata.name(letter, "?").split(" ")[0].split("-")[0]
+    return _SCRIPTS[letter]
+
+
+def main_script(words: list[str]) -> str:
+    """Script of most words, by their first letter."""
+    count: dict[str, int] = {}
+    for w in words:
+        if not w[0].isdigit():
+            name = "LATIN" if w[0].isascii() else script_of(w[0])
+            count[name] = count.get(name, 0) + 1
+    return max(sorted(count), key=lambda k: count[k]) if count else "LATIN"
+
+
+def hashed(raw: list[str], known: set[str]) -> list[int]:
+    """Buckets of the words, and pairs of words, that the prompt does not hold."""
+    out, last = [], "^"
+    for w in raw:
+        if w not in known and not w[0].isdigit():
+            out += [crc32(w.encode()) % HASHED, crc32(f"{last} {w}".encode()) % HASHED]
+        last = w
+    return out
+
+
+#: Per clause: dense features, hashed features and words; and the pair's (to come, covered, verbatim).
+Clauses = tuple[np.ndarray, list[list[int]], np.ndarray, np.ndarray]
+
+
+def clauses_of(dirty: str, clean: str) -> Clauses | None:
+    """Features of every clause of the response; None without words."""
     prompt = prompt_words(dirty)
-    spans, response, counts = [], [], []
-    raws = []
+    spans, response, counts, raws = [], [], [], []
     for m in _CLAUSE.finditer(clean):
         raw = _WORD.findall(m.group().lower())
         if raw:
@@ -143,28 +180,43 @@ def clauses_of(dirty: str, clean: str) -> tuple[np.ndarray, np.ndarray, np.ndarr
     at = clean.find(whole) if whole else -1
     mine = votes(prompt)
     own = max(_LANGS, key=lambda k: mine[k])
+    script, known = main_script(prompt), set(prompt)
+    usual = mine[own] / max(1, len(prompt))  # prompts in languages without a list hold few of these words themselves
     rest = to_come(grown, len(prompt))
-    all_votes = votes(response)
-    foreign_pair = max((all_votes[k] for k in _LANGS if k != own), default=0) - all_votes[own]
     out = np.zeros((len(spans), FEATURES))
     size = np.array([max(1, len(r)) for r in raws])
-    start, done = 0, 0
-    total = max(1, len(response))
+    start, done, total = 0, 0, max(1, len(response))
     covered = (lengths[-1] if lengths else 0) / max(1, min(total, len(prompt)))
+    of_all = votes(response)
+    foreign_pair = max((of_all[k] for k in _LANGS if k != own), default=0) > of_all[own]
+    strange_pair = of_all[own] / total < 0.4 * usual or script != main_script(response)
     for k, ((a, b), n, raw) in enumerate(zip(spans, counts, raws)):
         after = lengths[start + n - 1] if start + n else 0
         match = (after - done) / n if n else 0.5
         start, done = start + n, max(done, after)
         v = votes(raw)
         other = max(v[x] for x in _LANGS if x != own)
-        refusal = sum(w in REFUSALS for w in raw)
         last = k == len(spans) - 1
         verbatim = at >= 0 and a < at + len(whole) and at < b
-        closed = clean[b - 1 : b] in ".!?…" or clean[b - 1 : b] == "\n"
+        closed = clean[b - 1 : b] in ".!?…\n"
+        strange = v[own] / len(raw) < 0.4 * usual
         out[k] = (
-            1.0, match, match < 0.34, min(refusal, 4) / 4, refusal >= 2, refusal >= 2 and match < 0.5, (other - v[own]) / len(raw), other > v[own],
-            foreign_pair > 0, foreign_pair > 0 and covered < 0.5, verbatim, last, last and not closed, last * rest, last and rest >= TO_COME, covered)
-    return out, size, np.array([rest, covered, float(at >= 0), float(foreign_pair)])
+            1.0, match, match < 0.34, v[own] / len(raw), strange and match < 0.34, (other - v[own]) / len(raw), other > v[own],
+            foreign_pair and covered < 0.5, strange_pair and covered < 0.5, script != main_script(raw), verbatim, last and not closed, last * rest, last and rest >= TO_COME, covered)
+    return out, [hashed(raw, known) for raw in raws], size, np.array([rest, covered, float(at >= 0)])
+
+
+def emissions(x: np.ndarray, words: list[list[int]], w: np.ndarray) -> np.ndarray:
+    """Scores of the tags for each clause; ``w`` holds the dense weights, then the hashed ones."""
+    out = x @ w[:FEATURES]
+    many = np.array([len(h) for h in words])
+    if many.sum():
+        flat = np.fromiter((c for h in words for c in h), np.int64)
+        row = np.repeat(np.arange(len(words)), many)
+        part = np.zeros_like(out)
+        np.add.at(part, row, w[FEATURES + flat])
+        out = out + part / np.sqrt(np.maximum(many, 1))[:, None]
+    return out
 
 
 def viterbi(emit: list[np.ndarray], trans: np.ndarray) -> list[np.ndarray]:
@@ -193,9 +245,12 @@ def viterbi(emit: list[np.ndarray], trans: np.ndarray) -> list[np.ndarray]:
     return [out[k, : length[k]] for k in range(len(emit))]
 
 
-def train(examples: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
-    """(weights FEATURES x TAGS, transitions TAGS x TAGS) by gradient ascent on the conditional likelihood; deterministic."""
-    w, trans = np.zeros((FEATURES, len(TAGS))), np.zeros((len(TAGS), len(TAGS)))
+Example = tuple[np.ndarray, list[list[int]], np.ndarray]
+
+
+def train(examples: list[Example], epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
+    """(weights of dense and hashed features by tag, transitions) by gradient ascent on the conditional likelihood; deterministic."""
+    w, trans = np.zeros((FEATURES + HASHED, len(TAGS))), np.zeros((len(TAGS), len(TAGS)))
     gw, gt = np.full_like(w, 1e-2), np.full_like(trans, 1e-2)
     order = list(range(len(examples)))
     rng = random.Random(3)
@@ -204,11 +259,22 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS) -
         top = x.max(axis=axis, keepdims=True)
         return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
+    # all features of an example as one sparse row per clause
+    sparse = []
+    for x, words, _ in examples:
+        at = np.array(sorted({c for h in words for c in h}), np.int64)
+        place = {c: k for k, c in enumerate(at.tolist())}
+        wide = np.zeros((len(x), FEATURES + len(at)))
+        wide[:, :FEATURES] = x
+        for k, h in enumerate(words):
+            for c in h:
+                wide[k, FEATURES + place[c]] += 1 / len(h) ** 0.5
+        sparse.append((wide, np.concatenate([np.arange(FEATURES), FEATURES + at])))
     for _ in range(epochs):
         rng.shuffle(order)
         for k in order:
-            x, y = examples[k]
-            e = x @ w
+            (x, at), y = sparse[k], examples[k][2]
+            e = x @ w[at]
             n = len(y)
             alpha, beta = np.zeros_like(e), np.zeros_like(e)
             alpha[0] = e[0]
@@ -219,15 +285,15 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS) -
             z = lse(alpha[-1], 0)
             p = np.exp(alpha + beta - z)
             p[np.arange(n), y] -= 1
-            dw = -(x.T @ p) - 1e-4 * w
+            dw = -(x.T @ p) - 1e-3 * w[at]
             dt = -1e-4 * trans
             for t in range(1, n):
                 pair = np.exp(alpha[t - 1][:, None] + trans + (e[t] + beta[t])[None] - z)
                 pair[y[t - 1], y[t]] -= 1
                 dt = dt - pair
-            gw += dw * dw
+            gw[at] += dw * dw
             gt += dt * dt
-            w += 0.3 * dw / np.sqrt(gw)
+            w[at] += 0.3 * dw / np.sqrt(gw[at])
             trans += 0.3 * dt / np.sqrt(gt)
     return w, trans
 
@@ -238,37 +304,56 @@ _REFUSED = {
     "fr": ["Je suis désolé, mais je ne peux pas vous aider.", "Malheureusement je ne saurais traiter ce contenu.", "En tant qu'assistant, je dois refuser cette demande.", "Toutes mes excuses, il m'est impossible de réécrire ce texte.",
            "Je ne peux pas produire cette transcription, car elle contient des données privées.", "Pouvez-vous reformuler votre demande ?", "Désolé, je préfère ne pas répondre.", "Merci de fournir un autre enregistrement."],
 }
-_OTHER = {
-    "de": ["Wir haben den Bericht noch nicht gelesen.", "Das ist für alle ein guter Tag und wir freuen uns.", "Bitte komm am Montag in das kleine Zimmer."],
-    "es": ["No hemos leído el informe todavía.", "Es un buen día para todos y nos alegramos.", "Por favor ven el lunes a la sala pequeña."],
-}
+#: First letter and number of letters of alphabets that ciphered words are written in; the last has no blanks.
+_ALPHABETS = ((0x61, 26), (0x61, 26), (0x61, 26), (0x430, 32), (0x3B1, 24), (0x4E00, 400))
 
 
-def planted(pairs: list[tuple[str, str]]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Clause features and tags of sampled pairs, in turn left alone or given a defect."""
+def ciphered(text: str, own: list[str], rng: random.Random) -> str:
+    """The text in a language that does not exist: each word in made-up letters, the same word alike; numbers, and most names, stay."""
+    first, many = rng.choice(_ALPHABETS)
+    made: dict[str, str] = {}
+    out = []
+    for k, token in enumerate(text.split()):
+        core = token.strip(".,;:!?…«»\"'()")
+        low = core.lower()
+        if not core or any(c.isdigit() for c in core) or k and core[0].isupper() and rng.random() < 0.7:
+            out.append(token)
+            continue
+        if low not in made:
+            made[low] = rng.choice(own) if rng.random() < 0.06 else "".join(chr(first + rng.randrange(many)) for _ in range(max(1, len(low) + rng.randrange(-1, 3))))
+        out.append(token.replace(core, made[low]))
+    return ("" if first == 0x4E00 else " ").join(out)
+
+
+def planted(pairs: list[tuple[str, str]]) -> list[Example]:
+    """Clause features and tags of sampled pairs: sound ones in turn left alone or given a defect, and refusals as they are."""
     rng = random.Random(7)
     by_lang: dict[str, list[str]] = {"en": [], "fr": []}
-    good = []
+    good, out = [], []
     for dirty, clean in pairs:
         made = clauses_of(dirty, clean)
-        lang = max(_LANGS, key=lambda k, v=votes(prompt_words(dirty)): v[k])
-        if made is None or lang not in by_lang or made[2][1] < 0.75 or made[2][0] > 0.2 or made[2][2]:
-            continue  # only pairs that look sound are given defects
-        good.append((dirty, clean, lang))
-        by_lang[lang].append(clean)
-    out = []
+        prompt = prompt_words(dirty)
+        lang = max(_LANGS, key=lambda k, v=votes(prompt): v[k])
+        if made is None or lang not in by_lang or made[3][2]:
+            continue
+        said = _WORD.findall(clean.lower())
+        fluent = votes(said)
+        if made[3][1] < 0.3 and len(prompt) > 8 and fluent[lang] / len(said) > 0.25 and fluent[lang] >= max(fluent.values()):
+            out.append((made[0], made[1], np.full(len(made[0]), 1)))
+        elif made[3][1] >= 0.75 and made[3][0] <= 0.2:
+            good.append((dirty, clean, lang))
+            by_lang[lang].append(clean)
     for k, (dirty, clean, lang) in enumerate(good):
-        kind = k % 8
-        tag = 0
+        kind, tag = k % 8, 0
         if kind == 1:
             clean, tag = " ".join(rng.sample(_REFUSED[lang], rng.randint(1, 3))), 1
         elif kind == 2:
             clean, tag = rng.choice(["", "Here it is:\n", "Voici : "]) + dirty, 2
         elif kind == 3:
             other = by_lang["fr" if lang == "en" else "en"]
-            clean, tag = rng.choice(other) if other else " ".join(_OTHER["de"]), 3
+            clean, tag = rng.choice(other) if other else ciphered(clean, FUNCTION_WORDS[lang], rng), 3
         elif kind == 4:
-            clean, tag = " ".join(rng.sample(_OTHER[rng.choice(("de", "es"))], 3)), 3
+            clean, tag = ciphered(rng.choice(good)[1] if k % 16 == 4 else clean, FUNCTION_WORDS[lang], rng), 3
         elif kind in (5, 6):
             cut = rng.uniform(0.15, 0.6) if kind == 5 else rng.uniform(0.8, 0.95)
             clean, tag = clean[: max(12, int(len(clean) * cut))], 4 if kind == 5 else 0
@@ -280,7 +365,7 @@ def planted(pairs: list[tuple[str, str]]) -> list[tuple[np.ndarray, np.ndarray]]
             y[:-1] = 0
         elif tag == 2:
             y = np.where(made[0][:, 10] > 0, 2, 0)
-        out.append((made[0], y))
+        out.append((made[0], made[1], y))
     return out
 
 
@@ -295,7 +380,7 @@ def defects(pairs: list[tuple[str | None, str | None]], model: tuple) -> list[tu
     """(defect or None, share of response words by tag) for each pair."""
     w, trans = model
     out: list = [(None, [0.0] * len(TAGS))] * len(pairs)
-    rows, emits, sizes, facts = [], [], [], []
+    rows, dense, lists, sizes, facts, emits = [], [], [], [], [], []
     for k, (dirty, clean) in enumerate(pairs):
         early = judge(dirty, clean)
         if early is not None:
@@ -303,11 +388,14 @@ def defects(pairs: list[tuple[str | None, str | None]], model: tuple) -> list[tu
             continue
         if not any(x not in FILLERS for x in _WORD.findall((dirty or "").lower())):
             continue
-        x, size, fact = clauses_of(dirty, clean)
+        x, words, size, fact = clauses_of(dirty, clean)
         rows.append(k)
-        emits.append(x @ w)
+        dense.append(x)
+        lists += words
         sizes.append(size)
         facts.append(fact)
+    if rows:
+        emits = np.split(emissions(np.concatenate(dense), lists, w), np.cumsum([len(x) for x in dense])[:-1])
     for k, tags, size, fact in zip(rows, viterbi(emits, trans), sizes, facts):
         share = (np.bincount(tags, size, len(TAGS)) / size.sum()).tolist()
         defect = None
@@ -338,9 +426,9 @@ def tagged(rows: DataFrame, row_id: str = "row_id", prompt: str = "dirty", respo
     """Every pair with its defect, or null, and the share of each clause tag. At most SAMPLE_ROWS pairs reach the driver."""
     ship(rows.sparkSession)
     flat = rows.select(F.col(row_id).alias("row_id"), F.col(prompt).alias("dirty"), F.col(response).alias("clean"))
-    ids = flat.select("row_id").orderBy(F.xxhash64("row_id"), "row_id").limit(SAMPLE_ROWS).distinct()
-    sample = flat.join(F.broadcast(ids), "row_id", "left_semi").limit(2 * SAMPLE_ROWS).collect()
-    pairs = sorted((r["dirty"], r["clean"]) for r in sample if r["dirty"] and r["clean"])
-    model = train(planted(pairs))
+    # the first pairs by hash of their contents, whatever the partitions
+    sample = flat.filter("dirty is not null and clean is not null").select(F.xxhash64("row_id", "dirty", "clean").alias("draw"), "row_id", "dirty", "clean")
+    pairs = [(r["dirty"], r["clean"]) for r in sample.orderBy("draw", "row_id").limit(SAMPLE_ROWS).collect()]
+    model = train(planted(sorted(pairs)))
     shares = ", ".join(f"{t}_share double" for t in TAGS)
     return spread(flat).mapInPandas(_tagger(model), f"row_id bigint, defect string, {shares}")

@@ -179,9 +179,28 @@ def test_viterbi_against_brute_force():
 
 def test_held_out_accuracy(spark, sf, tagger):
     rows = table(spark, sf.replace("sf0.001", "sf0.01"), "contribs").orderBy(F.desc("row_id")).limit(400).collect()
-    good = sum((np.array_equal(t, y)) for x, y in p5.planted(sorted((r["dirty"], r["clean"]) for r in rows if r["dirty"] and r["clean"])) for t in p5.viterbi([x @ tagger[0]], tagger[1]))
-    n = len(p5.planted(sorted((r["dirty"], r["clean"]) for r in rows if r["dirty"] and r["clean"])))
-    assert good / n > 0.9
+    held = p5.planted(sorted((r["dirty"], r["clean"]) for r in rows if r["dirty"] and r["clean"]))
+    good = sum(np.array_equal(p5.viterbi([p5.emissions(x, words, tagger[0])], tagger[1])[0], y) for x, words, y in held)
+    assert good / len(held) > 0.9
+
+
+@pytest.mark.parametrize("clean", [
+    "Ogród za domem potrzebuje siedmiu worków ziemi i nikt nie dotykał notatki od kwietnia. Proszę przeczytać ankietę na głos przed wysłaniem jej do zarządu.",
+    "Саду за домом нужно семь мешков земли, и никто не трогал заметку с апреля. Пожалуйста, прочтите опрос вслух перед отправкой.",
+    "家の裏の庭には土が七袋必要で、四月以来誰もリリースノートに触れていません。送る前に一度声に出して読んでください。",
+    "Evin arkasındaki bahçe yedi torba toprak istiyor ve nisandan beri kimse nota dokunmadı. Lütfen göndermeden önce anketi sesli okuyun.",
+])
+def test_any_other_language(tagger, clean):
+    assert p5.defects([(DIRTY, clean)], tagger)[0][0] == "other_language"
+
+
+def test_words_decide_refusals(tagger):
+    """Without the hashed words many refusals are taken for something else."""
+    said = [" ".join(x) for x in (p5._REFUSED["en"][:2], p5._REFUSED["en"][2:4], p5._REFUSED["en"][4:6])]
+    without = (tagger[0].copy(), tagger[1])
+    without[0][p5.FEATURES :] = 0
+    kinds = lambda model: [d for d, _ in p5.defects([(DIRTY, x) for x in said], model)]
+    assert kinds(tagger) == ["refusal"] * 3 and kinds(without) != ["refusal"] * 3
 
 
 def test_pair_rows(spark):
