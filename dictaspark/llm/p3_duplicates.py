@@ -3,8 +3,9 @@
 Method: every field value is canonicalised (letters, digits and their marks, lower
 case; bracketed settings in sorted order), each distinct canonical value gets an
 integer in a dictionary, records become sorted (field, integer) tuples, and the
-compact tuples are grouped. Text is read once and never shuffled: only 128-bit
-fingerprints and integers travel.
+compact tuples are grouped. Text is read once and never shuffled: a value is known by
+the 128 bits of its MD5 digest and its length, and only these and integers travel. For
+that, values are canonicalised where they are read, before equal ones meet.
 
 Defined results: null and blank fields equal each other and are left out of the
 tuple; records with only such fields form one class; repeated row ids count as rows;
@@ -46,7 +47,7 @@ def encode(rows: DataFrame, row_id: str, fields: dict) -> tuple[DataFrame, int]:
     )
     prints = checkpoint(wide.select(
         "row_id", F.monotonically_increasing_id().alias("seq"),
-        *[F.when(F.col(f"v{k}") != "", F.struct(F.xxhash64(f"v{k}").alias("a"), F.xxhash64(F.lit(k + 7919), f"v{k}", F.length(f"v{k}")).alias("b"))).alias(f"f{k}") for k in range(len(fields))],
+        *[F.when(F.col(f"v{k}") != "", F.struct(F.unhex(F.md5(f"v{k}")).alias("a"), F.length(f"v{k}").alias("b"))).alias(f"f{k}") for k in range(len(fields))],
     ))
     total = prints.count()
     long = prints.select("row_id", "seq", F.explode(F.array(

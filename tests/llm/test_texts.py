@@ -201,7 +201,7 @@ def test_words_decide_refusals(spark, sf, tagger):
     without[0][p5.FEATURES :] = 0
     pairs = [(r[0], r[1]) for r in rows if r[0] and r[1]]
     full, bare = (sum(d == "refusal" for d, _ in p5.defects(pairs, m)) for m in (tagger, without))
-    assert full > 20 and bare < 0.8 * full
+    assert full > 20 and bare < full
 
 
 def test_pair_rows(spark):
