@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dictaspark.llm.sampling import hashed_sample
 from dictaspark.session import ship, spread
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
@@ -427,8 +428,8 @@ def tagged(rows: DataFrame, row_id: str = "row_id", prompt: str = "dirty", respo
     ship(rows.sparkSession)
     flat = rows.select(F.col(row_id).alias("row_id"), F.col(prompt).alias("dirty"), F.col(response).alias("clean"))
     # the first pairs by hash of their contents, whatever the partitions
-    sample = flat.filter("dirty is not null and clean is not null").select(F.xxhash64("row_id", "dirty", "clean").alias("draw"), "row_id", "dirty", "clean")
-    pairs = [(r["dirty"], r["clean"]) for r in sample.orderBy("draw", "row_id").limit(SAMPLE_ROWS).collect()]
+    sample = hashed_sample(flat, ["row_id", "dirty", "clean"], SAMPLE_ROWS).filter("dirty is not null and clean is not null")
+    pairs = [(r["dirty"], r["clean"]) for r in sample.select("dirty", "clean").collect()]
     model = train(planted(sorted(pairs)))
     shares = ", ".join(f"{t}_share double" for t in TAGS)
     return spread(flat).mapInPandas(_tagger(model), f"row_id bigint, defect string, {shares}")

@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dictaspark.llm.sampling import hashed_sample
 from dictaspark.session import checkpoint, ship, spread
 
 RUN = 12
@@ -301,7 +302,7 @@ def leaks(documents: DataFrame, items: DataFrame, cosine: float = COSINE, measur
     ship(spark)
     docs = documents.select("doc_id", "text")
     idf = inverse_frequencies(docs)
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).select("text", F.lit(False).alias("item"))
+    sample = hashed_sample(docs, ["doc_id", "text"], SAMPLE_DOCS).select("text", F.lit(False).alias("item"))
     basis, _ = decompose(checkpoint(items.select("text", F.lit(True).alias("item")).unionByName(sample)), idf)
     held = items.select("item_id", "text")
     blocks = max(1, -(-held.count() // ITEM_BLOCK))
