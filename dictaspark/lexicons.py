@@ -27,10 +27,22 @@ DIGITS_FR = {
 }
 
 # Function words of the pair filter.
+STOP_FR = (
+    "le la les un une des du de d au aux a à et ou mais donc or ni car que qui quoi dont où "
+    "je tu il elle on nous vous ils elles me te se lui leur y en ce cet cette ces celui celle "
+    "mon ton son ma ta sa mes tes ses notre votre nos vos leurs "
+    "est sont était étaient sera seront suis es sommes êtes ai as avons avez ont avait avaient "
+    "pas ne plus moins très trop bien mal peu tout tous toute toutes même aussi encore déjà "
+    "pour par sans sous sur dans avec chez vers entre depuis pendant avant après "
+    "si comme quand alors ainsi puis enfin voilà voila "
+    "the a an of and or but is are was were to in on at it its this that these those "
+    "i you he she we they me him her them my your his our their be been being have has had "
+    "do does did not no yes for with from by as so if then than").split()
 STOP_EN = (
     "the a an of and or but is are was were to in on at it its this that these those i you he she we they me him her them my your his "
     "our their be been being have has had do does did not no yes for with from by as so if then than um uh er erm hmm mm mhm like know "
     "well okay right").split()
+STOP = {"fr": STOP_FR, "en": STOP_EN}
 
 # Function words of the structural check.
 TOOLS = {
@@ -44,6 +56,40 @@ TOOLS = {
     "how there here very too quite rather just also only even still already ll ve re d s m t".split(),
 }
 
+# Function words that the guard takes besides those of the structural check and the pair filter.
+GUARD_TOOLS = (
+    "lequel laquelle lesquels lesquelles auquel auxquels auxquelles duquel desquels desquelles quelque quelques chaque autre autres tel telle "
+    "tels telles ceux celles elles être avoir été étant ayant soit soient sois soyons soyez fut furent serait seraient serais aurait auraient "
+    "aurais aura auront avais avions aviez étais étions étiez sien sienne siens siennes mien mienne miens miennes tien tienne tiens tiennes quel "
+    "quelle quels quelles cela beaucoup seulement uniquement puisque parce afin jusque jusqu durant").split()
+
+# Forms a word may take when the register changes, read both ways.
+REGISTER = {
+    "va": "aller allons allez irons irait irions",
+    "peut": "pouvoir pouvons pouvez pourra pourrons pourrait pourrions puisse puissions",
+    "doit": "devoir devons devez devra devrons devrait devrions falloir faut faudra",
+    "fait": "faire faisons faites ferons ferait ferions fasse fassions",
+    "veut": "vouloir voulons voulez voudra voudrons voudrait voudrions",
+    "sait": "savoir savons savez saura saurons saurait",
+    "vaut": "valoir valons vaudra vaudrait",
+    "faut": "falloir faudra faudrait fallait faille devoir doit devra devrait devons",
+    "aussi": "egalement",
+    "vite": "rapidement",
+    "fois": "parfois",
+    "gens": "personnes personne gens",
+    "vrai": "realite vraiment",
+    "genre": "exemple",
+    "ouf": "fou incroyable genial formidable",
+    "bosse": "travail travailler travaille",
+    "bosser": "travailler travaille travail",
+    "pub": "publicite",
+    "pubs": "publicites publicite",
+    "notif": "notification",
+    "notifs": "notifications notification",
+    "perso": "personnellement personnel",
+    "docu": "documentaire",
+}
+
 # Everyday words and their standard forms.
 SYNONYMS = {
     "fr": {"trucs": "choses", "truc": "chose", "bagnole": "voiture", "ouais": "oui", "boulot": "travail", "dispo": "disponible"},
@@ -76,7 +122,7 @@ NEGATION = {
 }
 PARTICLES = {"fr": ["ne", "n'", "n’"], "en": []}
 
-# Marker words of the language vote.
+# Closed vocabularies.
 CLOSED = {
     "qc_cause": ["vide", "boucle", "langue", "sens", "invention", "effondrement", "incoherence"],
     "old_defect": ["boucle", "hallucination", "effondrement", "langue", "incoherence", "aucun"],

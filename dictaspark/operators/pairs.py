@@ -38,7 +38,7 @@ def supported(word: Column, source: Column) -> Column:
 
 def filter_pair(dirty: Column, clean: Column, structure: Column, context: Column, lang: str) -> Column:
     """First reason to reject, or null: empty, polarity, invented, longer, cut."""
-    stop = L.STOP_EN if lang == "en" else [t for t in L.TOOLS["fr"] if "_" not in t] + L.HESITATIONS["fr"]
+    stop = L.STOP[lang]
     digits = L.DIGITS_FR if lang == "fr" else {}
     source, target = t.filter_words(dirty, stop, digits), t.filter_words(clean, stop, digits)
     invented = t.let(source, lambda known: F.exists(target, lambda w: ~supported(w, known)))

@@ -195,12 +195,20 @@ def json_envelopes(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", F.get_json_object(body, "$.k").alias("k"))
 
 
-@query()
+_MARKERS = ["no wait", "pardon", "sorry", "plutôt", "non pardon"]
+
+
+@query(f"""SELECT * FROM (SELECT row_id, list_extract(list_filter(regexp_extract_all(regexp_extract(lower(dirty), '(?s)^(.*?)\\b(?:{"|".join(_MARKERS)})\\b', 1), '[^{q.SPACE}]+'),
+lambda w: len(w) > 2), -1) AS value FROM contribs) WHERE value IS NOT NULL""")
 def abandoned_value(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "contribs").select("row_id", t.abandoned_value(F.col("dirty"), ["no wait", "pardon", "sorry", "plutôt", "non pardon"]).alias("value")).filter("value is not null")
+    return table(spark, sf, "contribs").select("row_id", t.abandoned_value(F.col("dirty"), _MARKERS).alias("value")).filter("value is not null")
 
 
-@query()
+@query(f"""WITH p AS (SELECT row_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(dirty, '([.!?…;:])[{q.SPACE}]+', '\\1' || chr(1), 'g'), ',[{q.SPACE}]*', chr(1), 'g'), chr(1)),
+lambda x: {q.collapse('x')}), lambda x: x <> '') AS p FROM contribs WHERE dirty IS NOT NULL),
+w AS (SELECT row_id, flatten(list_transform(p, lambda x: CASE WHEN len(string_split(x, ' ')) <= 30 THEN [x]
+ELSE list_transform(range(0, (len(string_split(x, ' ')) + 19) // 20), lambda k: array_to_string(string_split(x, ' ')[k * 20 + 1:k * 20 + 20], ' ')) END)) AS c FROM p)
+SELECT row_id, unnest(range(len(c)))::INT AS clause, unnest(c) AS text FROM w""")
 def clause_split(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "contribs").select("row_id", F.posexplode(t.clauses(F.col("dirty"))).alias("clause", "text"))
 
@@ -215,13 +223,9 @@ def weighted_draw(spark: SparkSession, sf: str) -> DataFrame:
 JOIN (VALUES ('short', 40), ('mid', 30), ('long', 20)) v(b, quota) ON bucket = b QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY md5('q|' || doc_id), doc_id) <= quota""")
 def stratified_quota(spark: SparkSession, sf: str) -> DataFrame:
     """Length buckets with a quota each."""
-    from pyspark.sql.window import Window
-
     bucket = F.when(F.col("n_chars") < 600, "short").when(F.col("n_chars") < 1200, "mid").otherwise("long")
-    quotas = spark.createDataFrame([("short", 40), ("mid", 30), ("long", 20)], "bucket string, quota int")
-    rows = table(spark, sf, "documents").select("doc_id", bucket.alias("bucket")).join(F.broadcast(quotas), "bucket")
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("bucket").orderBy(sample.draw("q", F.col("doc_id")), "doc_id")))
-    return ranked.filter("r <= quota").select("doc_id", "bucket")
+    quota = F.when(F.col("bucket") == "short", 40).when(F.col("bucket") == "mid", 30).otherwise(20)
+    return sample.first_of_groups(table(spark, sf, "documents").select("doc_id", bucket.alias("bucket")), ["bucket"], "doc_id", "q", lambda _: quota)
 
 
 @query(f"""SELECT row_id FROM contribs WHERE {q.axis('styling', 'semi-formal')} = 'semi-formal' AND {q.axis('structure', 'prose')} = 'prose' AND {q.axis('context', 'general')} = 'general'

@@ -148,43 +148,46 @@ def two_key_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.keep_first_two_keys(rows, F.col("id"), F.md5(t.casefold_key(F.col("dirty"))), "row_id").select("row_id")
 
 
-@query("""SELECT CASE WHEN file = 'pairs_mix_' || lang || '.jsonl' THEN 'mix/' || file WHEN regexp_matches(file, '(?:_(?:fr|en)\\d+\\.jsonl|\\.v\\d+\\.jsonl)$') THEN lang || '/history/' || file
-WHEN regexp_matches(file, '^pairs_(itn|correction|forme|compo|coritn|paragraphes|termes)_') AND suffix(file, '.jsonl') THEN lang || '/pairs/' || file
-WHEN regexp_matches(file, '\\.jsonl\\.(progress|adjudged)$') THEN lang || '/teacher/' || file WHEN suffix(file, '.log') THEN lang || '/logs/' || file
-WHEN suffix(file, '.sh') OR suffix(file, '.ps1') THEN lang || '/scripts/' || file WHEN regexp_matches(file, '^(units|qc_units|eval)_.*\\.jsonl$') THEN lang || '/corpus/' || file
-WHEN regexp_matches(file, '^(bench|judge|ab)_.*\\.json$') THEN lang || '/bench/' || file END AS destination, count(*) AS n FROM (
-SELECT lang, CASE row_id % 7 WHEN 0 THEN 'pairs_mix_' || lang || '.jsonl' WHEN 1 THEN 'pairs_itn_' || lang || '6.jsonl' WHEN 2 THEN 'pairs_itn_' || lang || '.jsonl'
-WHEN 3 THEN 'units_' || lang || '.jsonl.progress' WHEN 4 THEN 'qc_units_' || lang || '.log' WHEN 5 THEN 'eval_' || lang || '_v6.sh' ELSE file END AS file FROM contribs WHERE lang IS NOT NULL) GROUP BY 1""")
+_WORK = ["pairs_itn6.jsonl", "pairs_forme.jsonl", "pairs_forme.v2.jsonl", "pairs_mix5.jsonl", "pairs_x.jsonl.progress", "pairs_x.jsonl.adjudged", "run.log", "units_a.jsonl", "cohere_units_a.txt",
+         "a_unit_ref.jsonl", "a_manifest.jsonl", "b_eval_sessions.json", "eval_set_c.txt", "go.sh", "go.cmd", "go.ps1", "tool.py", "judge.json", "notes.txt", "model.bin", "pairs_mix7.jsonl"]
+
+
+@query(f"""WITH w AS (SELECT lang, [{", ".join(f"'{w}'" for w in _WORK)}][row_id % {len(_WORK)} + 1] AS f, file FROM contribs WHERE lang IS NOT NULL),
+n AS (SELECT lang, f FROM w UNION ALL SELECT lang, lower(file) || '.jsonl' FROM w)
+SELECT CASE WHEN f = 'pairs_mix7.jsonl' AND lang = 'fr' THEN 'mix/pairs_mix.jsonl' WHEN f = 'pairs_mix7.jsonl' THEN 'mix/pairs_mix_' || lang || '.jsonl'
+WHEN f LIKE '%.jsonl.progress' OR f LIKE '%.jsonl.adjudged' THEN lang || '/teacher/' || f
+WHEN starts_with(f, 'pairs_') AND suffix(f, '.jsonl') THEN lang || CASE WHEN starts_with(f, 'pairs_mix') OR regexp_matches(f, '[.]v[0-9]+[.]jsonl$') OR regexp_full_match(f, 'pairs_[a-z_]+[0-9]+[.]jsonl') THEN '/history/' ELSE '/pairs/' END || f
+WHEN suffix(f, '.log') THEN lang || '/logs/' || f
+WHEN regexp_matches(f, '^(cohere_|qc_)?units_') OR starts_with(f, 'eval_set_') OR regexp_matches(f, '_(unit_ref|unit_jobs|manifest)[.]jsonl$') OR regexp_matches(f, '_eval_(sessions|meetings)[.]json$') THEN lang || '/corpus/' || f
+WHEN suffix(f, '.sh') OR suffix(f, '.cmd') OR suffix(f, '.ps1') OR suffix(f, '.py') THEN lang || '/scripts/' || f
+WHEN suffix(f, '.jsonl') OR suffix(f, '.json') OR suffix(f, '.txt') THEN lang || '/bench/' || f END AS destination, count(*) AS n FROM n GROUP BY 1""")
 def archive_routing(spark: SparkSession, sf: str) -> DataFrame:
-    """Work files, named in turn after seven kinds, by destination; unrouted names have none."""
-    k, lang = F.col("row_id") % 7, F.col("lang")
-    name = (F.when(k == 0, F.concat(F.lit("pairs_mix_"), lang, F.lit(".jsonl"))).when(k == 1, F.concat(F.lit("pairs_itn_"), lang, F.lit("6.jsonl")))
-            .when(k == 2, F.concat(F.lit("pairs_itn_"), lang, F.lit(".jsonl"))).when(k == 3, F.concat(F.lit("units_"), lang, F.lit(".jsonl.progress")))
-            .when(k == 4, F.concat(F.lit("qc_units_"), lang, F.lit(".log"))).when(k == 5, F.concat(F.lit("eval_"), lang, F.lit("_v6.sh"))).otherwise(F.col("file")))
-    rows = table(spark, sf, "contribs").filter("lang is not null").select(name.alias("file"), "lang")
-    return rows.groupBy(routing.destination(F.col("file"), F.col("lang")).alias("destination")).agg(F.count("*").alias("n"))
+    """Work files of every kind, and the contributed files, by destination; what is not archived has none."""
+    rows = table(spark, sf, "contribs").filter("lang is not null")
+    work = F.element_at(F.array(*[F.lit(w) for w in _WORK]), (F.col("row_id") % len(_WORK) + 1).cast("int"))
+    names = rows.select("lang", F.explode(F.array(work, F.concat(F.lower("file"), F.lit(".jsonl")))).alias("file"))
+    return names.groupBy(routing.destination(F.col("file"), F.col("lang"), F.lit("pairs_mix7.jsonl")).alias("destination")).agg(F.count("*").alias("n"))
 
 
 @query(r"""WITH x AS (SELECT row_id, unnest(regexp_extract_all(dirty, '(?i)\b[\w.+-]+@(?:[\w-]+\.)+[a-z]{2,}\b')) AS m FROM contribs)
-SELECT row_id, m AS excerpt FROM x WHERE lower(split_part(m, '@', -1)) NOT IN ('example.com', 'example.org', 'example.net', 'exemple.fr')""")
+SELECT row_id, m AS excerpt FROM x WHERE lower(split_part(m, '@', -1)) NOT IN ('example.com', 'example.org', 'example.net')""")
 def pii_email(spark: SparkSession, sf: str) -> DataFrame:
-    hits = pii.scan(table(spark, sf, "contribs"), ["row_id"], ["dirty"])
-    return hits.filter("category = 'email'").select("row_id", "excerpt")
+    return pii.scan(table(spark, sf, "contribs"), ["row_id"], ["dirty"], categories=("email",)).select("row_id", "excerpt")
 
 
-@query(r"""SELECT doc_id, unnest(regexp_extract_all(text, '\b(?:\d{4,5}|[A-Z]{1,2}\d[A-Z\d]? \d[A-Z]{2}) [A-ZÀ-Ý][a-zà-ÿ-]{2,}')) AS excerpt FROM documents""")
+@query(r"""SELECT doc_id, unnest(regexp_extract_all(text, '\b(?:\d{4,5}|[A-Z]{1,2}\d[A-Z\d]?\s?\d[A-Z]{2})\s+[A-ZÉ][a-zé-]{2,}\b')) AS excerpt FROM documents""")
 def pii_postal_city(spark: SparkSession, sf: str) -> DataFrame:
-    return pii.scan(table(spark, sf, "documents"), ["doc_id"], ["text"]).filter("category = 'code_postal_ville'").select("doc_id", "excerpt")
+    return pii.scan(table(spark, sf, "documents"), ["doc_id"], ["text"], categories=("code_postal_ville",)).select("doc_id", "excerpt")
 
 
 @query()
 def pii_by_family(spark: SparkSession, sf: str) -> DataFrame:
-    return routing.findings_report(table(spark, sf, "contribs"), "row_id", F.col("file"), ["dirty", "clean"])
+    return routing.findings_report(spread(table(spark, sf, "contribs").select("row_id", "file", "dirty", "clean")), "row_id", F.col("file"), ["dirty", "clean"])
 
 
 @query()
 def pii_phone(spark: SparkSession, sf: str) -> DataFrame:
-    return pii.scan(table(spark, sf, "contribs"), ["row_id"], ["dirty", "clean"]).filter("category = 'telephone'")
+    return pii.scan(table(spark, sf, "contribs"), ["row_id"], ["dirty", "clean"], categories=("telephone",))
 
 
 @query()

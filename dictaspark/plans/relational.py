@@ -273,7 +273,8 @@ def train_eval_split(spark: SparkSession, sf: str) -> DataFrame:
     return sample.train_eval(rows, F.when(F.col("lang").isNull(), F.lit(True)), "file", "split", 0.2).select("row_id", "part")
 
 
-@query()
+@query("""WITH r AS (SELECT doc_id, len(text)::INT AS n, row_number() OVER (ORDER BY len(text) NULLS FIRST, substr(md5(doc_id::VARCHAR), 1, 2), doc_id) - 1 AS r FROM documents)
+SELECT doc_id, n, r // 16 AS batch, ('0x' || substr(md5('batch|' || (r // 16)), 1, 8))::BIGINT AS batch_order FROM r""")
 def length_batches(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "documents").select("doc_id", F.length("text").alias("n"))
     return sample.length_batches(rows, F.col("n"), "doc_id", 16, "batch").select("doc_id", "n", "batch", "batch_order")

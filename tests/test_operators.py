@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dictaspark import lexicons as L
 from dictaspark.functions import pii, stats, text as t
+from dictaspark.session import table
 from dictaspark.operators import components, dedup, generate, pairs, routing, sample, segment, skew
 
 
@@ -167,11 +168,45 @@ def test_statistics(spark):
 
 
 def test_routing(spark):
-    names = {"pairs_mix_en.jsonl": "mix/pairs_mix_en.jsonl", "pairs_mix_en6.jsonl": "en/history/pairs_mix_en6.jsonl", "pairs_itn_en.v5.jsonl": "en/history/pairs_itn_en.v5.jsonl",
-             "pairs_itn_en.jsonl": "en/pairs/pairs_itn_en.jsonl", "x.jsonl.adjudged": "en/teacher/x.jsonl.adjudged", "qc_units_en.log": "en/logs/qc_units_en.log",
-             "eval_en_v6.sh": "en/scripts/eval_en_v6.sh", "notes.txt": None}
-    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", routing.destination(F.col("n"), F.lit("en")).alias("d"))
+    names = {"pairs_mix_en7.jsonl": "mix/pairs_mix_en.jsonl", "pairs_mix_en6.jsonl": "en/history/pairs_mix_en6.jsonl", "pairs_itn_en.v5.jsonl": "en/history/pairs_itn_en.v5.jsonl",
+             "pairs_itn_en.jsonl": "en/pairs/pairs_itn_en.jsonl", "pairs_other.jsonl": "en/pairs/pairs_other.jsonl", "pairs_itn.jsonl.progress": "en/teacher/pairs_itn.jsonl.progress", "x.jsonl.adjudged": "en/teacher/x.jsonl.adjudged",
+             "qc_units_en.log": "en/logs/qc_units_en.log", "eval_en_v6.sh": "en/scripts/eval_en_v6.sh", "a.cmd": "en/scripts/a.cmd", "a.py": "en/scripts/a.py", "s_eval_sessions.json": "en/corpus/s_eval_sessions.json",
+             "units_en.txt": "en/corpus/units_en.txt", "a_manifest.jsonl": "en/corpus/a_manifest.jsonl", "notes.txt": "en/bench/notes.txt", "any.jsonl": "en/bench/any.jsonl", "model.bin": None}
+    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", routing.destination(F.col("n"), F.lit("en"), F.lit("pairs_mix_en7.jsonl")).alias("d"))
     assert {r["n"]: r["d"] for r in df.collect()} == names
+    french = spark.createDataFrame([("m.jsonl",)], "n string").select(routing.destination(F.col("n"), F.lit("fr"), F.lit("m.jsonl")).alias("d"))
+    assert french.first()["d"] == "mix/pairs_mix.jsonl"
+
+
+def test_pii_patterns_on_data(spark, sf):
+    """Phones and streets against Python's own regular expressions over whole tables."""
+    import re
+
+    rows = table(spark, sf, "contribs").select("row_id", "dirty", "clean")
+    got = {}
+    for r in pii.scan(rows, ["row_id"], ["dirty", "clean"], categories=("telephone", "adresse")).collect():
+        got.setdefault((r["row_id"], r["field"], r["category"]), []).append(r["excerpt"])
+    want = {}
+    street = re.compile(pii.STREET.replace("(?iu)", ""), re.I)
+    for r in rows.collect():
+        for field in ("dirty", "clean"):
+            phones = [m.group() for m in re.finditer(pii.PHONE, r[field] or "") if sum(c.isdigit() for c in m.group()) >= 9]
+            streets = [m.group() for m in street.finditer(r[field] or "")]
+            want |= {(r["row_id"], field, kind): x for kind, x in (("telephone", phones), ("adresse", streets)) if x}
+    assert want and got == want
+
+
+def test_first_of_groups_against_sorting(spark):
+    import hashlib
+
+    rng = random.Random(4)
+    rows = [(k, rng.choice(["a", "a", "a", "b", None, "c"])) for k in range(3000)] + [(5000, "lone")]
+    df = spark.createDataFrame(rows, "k bigint, g string")
+    want = set()
+    for g in {g for _, g in rows}:
+        mine = sorted((k for k, x in rows if x == g), key=lambda k: (hashlib.md5(f"s|{k}".encode()).hexdigest(), k))
+        want |= set(mine[: max(1, int(0.08 * len(mine)))])
+    assert {r["k"] for r in sample.sample_per_group(df, ["g"], "k", "s", 0.08).collect()} == want
 
 
 @pytest.mark.parametrize("group,lang", sorted(generate.WEIGHTS))
