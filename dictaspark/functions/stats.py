@@ -30,3 +30,10 @@ def nearest_rank(values: Column, p: float) -> Column:
     """Element of the sorted array at half-even rounded p * (n - 1)."""
     ordered = F.array_sort(values)
     return F.element_at(ordered, F.bround(p * (F.size(ordered) - 1)).cast("int") + 1)
+
+
+def step_counts(rows: Column, batch: int, accumulate: int, epochs: float, warm: float = 0.06) -> Column:
+    """``struct<batches, steps, warmup>`` of a training run: rounded up per epoch, warm-up rounded down but at least 1."""
+    batches = F.ceil(rows / batch)
+    steps = F.floor(F.ceil(batches / accumulate) * epochs)
+    return F.struct(batches.cast("bigint").alias("batches"), steps.cast("bigint").alias("steps"), F.greatest(F.lit(1), F.floor(F.lit(warm) * steps)).cast("bigint").alias("warmup"))

@@ -244,3 +244,28 @@ def language_vote(text: Column, fr: list[str], en: list[str]) -> Column:
 def hash_draw(seed: str, *keys: Column) -> Column:
     """Reproducible uniform integer below 2**32 from the md5 of seed and keys."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *[k.cast("string") for k in keys])), 1, 8), 16, 10).cast("bigint")
+
+
+def french_by_share(text: Column, known: list[str], accents: float = 0.02, share: float = 0.06) -> Column:
+    """Accented letters above a share of the words, or listed words above another."""
+    low = F.coalesce(text, F.lit(""))
+    tokens = F.regexp_extract_all(low, F.lit("[a-zA-ZÀ-ÿ']+"), F.lit(0))
+    marks = F.length(F.regexp_replace(F.lower(low), "[^àâäéèêëïîôöùûüçœ]", ""))
+    return let(tokens, lambda w: (marks > F.size(w) * accents) | (F.size(F.filter(w, lambda x: x.isin(known))) > F.size(w) * share))
+
+
+def language_drift(text: Column, words_by_lang: dict[str, list[str]], own: str = "en", slack: int = 2) -> Column:
+    """Whether function words of the other languages, each language counted, outnumber the own ones by more than ``slack``."""
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]+(?:'est(?![\p{L}\p{N}_]))?"), F.lit(0))
+
+    def count(words: Column, lang: str) -> Column:
+        return F.size(F.filter(words, lambda x: x.isin(words_by_lang[lang])))
+
+    def drifts(words: Column) -> Column:
+        foreign = F.lit(0)
+        for lang in words_by_lang:
+            if lang != own:
+                foreign = foreign + count(words, lang)
+        return foreign > count(words, own) + slack
+
+    return let(tokens, drifts)

@@ -122,6 +122,17 @@ NEGATION = {
 }
 PARTICLES = {"fr": ["ne", "n'", "n’"], "en": []}
 
+# Words of the French test, and function words of the language drift.
+FRENCH_TEST = (
+    "le la les des une un du de et est que qui pas pour dans avec sur je ce mais donc alors tout plus bien fait faire chose quand meme aussi "
+    "voila truc").split()
+DRIFT = {
+    "fr": "le la les de des du un une est et que qui pour avec dans sur pas ne vous nous ils elle c'est je il".split(),
+    "es": "el la los las de que y en un una es para con por no se usted nosotros".split(),
+    "de": "der die das und ist nicht mit für ein eine zu von auf sie ich wir sind".split(),
+    "en": "the and with this that from have will would about because there which is are was were".split(),
+}
+
 # Closed vocabularies.
 CLOSED = {
     "qc_cause": ["vide", "boucle", "langue", "sens", "invention", "effondrement", "incoherence"],

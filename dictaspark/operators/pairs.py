@@ -60,8 +60,11 @@ def family(file: Column) -> Column:
     return F.when(F.instr(file, "-") > 0, F.substring(file, F.instr(file, "-") + 1, F.lit(1 << 30))).otherwise(file)
 
 
-def validate(rows: DataFrame, lang: str) -> DataFrame:
-    """Structural flags of every pair: invention, rewriting, lower-case start, missing final mark, losses, digits, identical sides."""
+def validate(rows: DataFrame, lang: str, keeping: list[str] | None = None) -> DataFrame:
+    """Structural flags of every pair: invention, rewriting, lower-case start, missing final mark, losses, digits, identical sides.
+
+    ``keeping`` names the families that must keep everything; the usual ones when none are given.
+    """
     d, c, fam = F.col("dirty"), F.coalesce(F.col("clean"), F.lit("")), family(F.col("file"))
     tools, noise = L.TOOLS[lang], F.array(*[F.lit(w) for w in L.HESITATIONS[lang] + L.NUMBER_WORDS[lang]])
     source, target = F.array_distinct(t.content_words(d, tools)), F.array_distinct(t.content_words(c, tools))
@@ -77,7 +80,7 @@ def validate(rows: DataFrame, lang: str) -> DataFrame:
     gone = t.let(F.struct(stems(target).alias("stems"), target.alias("words")), lambda known: F.filter(
         F.array_except(F.array_except(source, target), noise),
         lambda w: ~near(w, known) & ~F.coalesce(F.array_contains(known["words"], F.try_element_at(plain, w)), F.lit(False))))
-    made, keeps = F.coalesce(F.col("source").isin(L.SYNTHETIC), F.lit(False)), fam.isin(L.KEEPING)
+    made, keeps = F.coalesce(F.col("source").isin(L.SYNTHETIC), F.lit(False)), fam.isin(L.KEEPING if keeping is None else keeping)
     bare = lambda x: F.regexp_replace(t.deaccent(F.lower(x)), r"^[ .]+|[ .]+$", "")
     spoken = F.arrays_overlap(source, F.array(*[F.lit(w) for w in L.NUMBER_WORDS[lang]]))
     return rows.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dictaspark.plans import composite, corpus, pairs, relational, scoring  # noqa: F401
+from dictaspark.plans import benches, composite, corpus, pairs, relational, scoring  # noqa: F401
 from dictaspark.plans.corpus import unit_funnel  # noqa: F401
 from dictaspark.plans.registry import QUERIES, SQL
 

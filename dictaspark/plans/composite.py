@@ -35,19 +35,11 @@ def unit_preparation(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.prepare_units(table(spark, sf, "asr_takes"), table(spark, sf, "qc_verdicts"))
 
 
-@query(f"""WITH {_JUDGED}, l AS (SELECT id, coalesce(nullif(lower(trim(lang)), ''), 'fr') AS lang FROM j WHERE verdict = 'OK' AND id LIKE '%3')
-SELECT id, '[Styling: semi-formal] [Structure: prose] [Context: general] [Lang: ' || lang || ']' AS control FROM l ORDER BY md5('eval|' || id), id LIMIT 80""")
-def evaluation_units(spark: SparkSession, sf: str) -> DataFrame:
-    """The held-out sample of units under the default control line; units whose id ends in 3 stand for the held-out ones."""
-    units = pipeline.prepare_units(table(spark, sf, "asr_takes"), table(spark, sf, "qc_verdicts"))
-    return pipeline.evaluation_units(units, F.col("id").endswith("3")).select("id", "control")
-
-
 @query(f"""WITH {_JUDGED}, l AS (SELECT id, coalesce(nullif(lower(trim(lang)), ''), 'fr') AS lang, regexp_split_to_array(id, '[_-]')[1] AS file FROM j WHERE verdict = 'OK'),
 h AS (SELECT id, lang, count(*) OVER p AS n, row_number() OVER (PARTITION BY file ORDER BY md5('units|' || id), id) AS r FROM l WINDOW p AS (PARTITION BY file))
 SELECT id, '[Styling: semi-formal] [Structure: prose] [Context: general] [Lang: ' || lang || ']' AS control FROM h WHERE r <= greatest(1, floor(0.08 * n)) ORDER BY md5('eval|' || id), id LIMIT 80""")
 def evaluation_units_held(spark: SparkSession, sf: str) -> DataFrame:
-    """``evaluation_units`` from the units that the family hold-out sets aside: 8 % of each file."""
+    """The held-out sample of units under the default control line, from the 8 % of each file that the family hold-out sets aside."""
     units = pipeline.prepare_units(table(spark, sf, "asr_takes"), table(spark, sf, "qc_verdicts"))
     held = sample.sample_per_group(units.select("id", "file", "lang"), ["file"], "id", "units", 0.08)
     return pipeline.evaluation_units(held, F.lit(True)).select("id", "control")
@@ -102,17 +94,6 @@ def number_difference(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "contribs").select("row_id", F.array_sort(extra).alias("new"))
 
 
-@query("""WITH a AS (SELECT id, max(upper(trim(verdict))) AS v, arg_max(causes, coalesce(words, 0) * 1000 + len(coalesce(preuve, ''))) AS c FROM qc_verdicts GROUP BY id),
-b AS (SELECT id, min(upper(trim(verdict))) AS v FROM qc_verdicts GROUP BY id)
-SELECT count(*) AS n, count(*) FILTER (a.v = b.v) AS agree, count(*) FILTER (a.v = 'KO' AND b.v = 'OK') AS missed_ko, count(*) FILTER (a.v = 'OK' AND b.v = 'KO') AS false_ko, 0::BIGINT AS cause_agree FROM a JOIN b USING (id)""")
-def binary_bench(spark: SparkSession, sf: str) -> DataFrame:
-    """Ids judged more than once: their largest against their smallest verdict, causes left out."""
-    rows = table(spark, sf, "qc_verdicts").groupBy("id")
-    none = F.array().cast("array<string>")
-    side = lambda f: rows.agg(f(F.upper(F.trim("verdict"))).alias("verdict")).withColumn("causes", none)
-    return pipeline.binary_bench(side(F.max), side(F.min))
-
-
 @query(f"""WITH r AS (SELECT id, CASE WHEN verdict IS NOT NULL THEN {{'v': upper(trim(verdict)), 'c': coalesce(causes, [])}} END AS x FROM qc_verdicts),
 b AS (SELECT id, max(x) AS a, min(x) AS b FROM r GROUP BY id)
 SELECT count(*) AS n, count(*) FILTER (a.v = b.v) AS agree, count(*) FILTER (a.v = 'KO' AND b.v = 'OK') AS missed_ko, count(*) FILTER (a.v = 'OK' AND b.v = 'KO') AS false_ko,

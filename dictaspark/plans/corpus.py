@@ -99,20 +99,6 @@ def lang_vote(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", t.language_vote(F.col("text"), _FR, _EN).alias("vote"))
 
 
-@query("""WITH u AS (SELECT session_id, idx, audio_id, words FROM utterances WHERE session_id IS NOT NULL AND paragraph_id IS NOT NULL),
-s AS (SELECT session_id, audio_id, row_number() OVER (PARTITION BY session_id ORDER BY audio_id) AS r, coalesce(words, 0) AS w FROM u),
-l AS (SELECT session_id, audio_id, r, w + lead(w) OVER p + lead(w, 2) OVER p AS total_words FROM s WINDOW p AS (PARTITION BY session_id ORDER BY r))
-SELECT session_id, audio_id, total_words::BIGINT AS total_words FROM l WHERE total_words <= 60""")
-def consecutive_windows(spark: SparkSession, sf: str) -> DataFrame:
-    """Neighbours by audio_id, as in the SQL; ``windows_by_idx`` asks that idx follows on."""
-    from pyspark.sql.window import Window
-
-    rows = table(spark, sf, "utterances").filter("session_id is not null and paragraph_id is not null")
-    ranked = rows.select("session_id", "audio_id", F.coalesce("words", F.lit(0)).alias("w")).withColumn("r", F.row_number().over(Window.partitionBy("session_id").orderBy("audio_id")))
-    out = segment.consecutive_windows(ranked, "session_id", "r", "w", 3, 60)
-    return out.select("session_id", "audio_id", F.col("total_words").cast("bigint").alias("total_words"))
-
-
 @query("""WITH s AS (SELECT session_id, audio_id, idx, coalesce(words, 0) AS w FROM utterances WHERE session_id IS NOT NULL AND paragraph_id IS NOT NULL),
 l AS (SELECT session_id, audio_id, idx, w, lead(idx) OVER p AS i2, lead(idx, 2) OVER p AS i3, lead(w) OVER p AS w2, lead(w, 2) OVER p AS w3 FROM s WINDOW p AS (PARTITION BY session_id ORDER BY idx, audio_id))
 SELECT session_id, audio_id, 2 AS size, (w + w2)::BIGINT AS total_words FROM l WHERE i2 = idx + 1 AND w + w2 <= 260 UNION ALL

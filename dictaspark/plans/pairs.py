@@ -46,15 +46,6 @@ def digit_invention(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "contribs").filter(~F.col("dirty").rlike(r"\d") & F.col("clean").rlike(r"\d")).select("row_id")
 
 
-@query(r"""SELECT row_id, len(regexp_extract_all(lower(coalesce(dirty, '')), '\b(?:not|never|none|nothing|nobody|neither|nor|cannot)\b|n[''’]t\b'))::INT AS d,
-len(regexp_extract_all(lower(coalesce(clean, '')), '\b(?:not|never|none|nothing|nobody|neither|nor|cannot)\b|n[''’]t\b'))::INT AS c FROM contribs WHERE lang = 'en'""")
-def negation_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Full English markers without the bare "no", as in the SQL; ``negation_markers`` has it, and French."""
-    pattern = L.NEGATION["en"].split(r"|\bno\b")[0].removeprefix("(?iU)")
-    count = lambda c: F.size(F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit(pattern), F.lit(0)))
-    return table(spark, sf, "contribs").filter("lang = 'en'").select("row_id", count("dirty").alias("d"), count("clean").alias("c"))
-
-
 @query()
 def negation_markers(spark: SparkSession, sf: str) -> DataFrame:
     """Full markers and particles of both sides and what became of them, by the full patterns of the row's language."""

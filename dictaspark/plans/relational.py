@@ -162,17 +162,10 @@ def density(spark: SparkSession, sf: str) -> DataFrame:
         (F.sum("words") / F.sum("duration_s")).alias("words_a_second"), F.avg("words").alias("mean_words"), F.sum("duration_s").alias("s")).filter("s > 0").drop("s")
 
 
-@query("SELECT event_type, arg_max(event_id, value) AS best, arg_min(event_id, value) AS least FROM (SELECT event_type, event_id, value FROM events WHERE value IS NOT NULL QUALIFY count(*) OVER (PARTITION BY event_type, value) = 1) GROUP BY event_type")
-def argmax_by_group(spark: SparkSession, sf: str) -> DataFrame:
-    """Only events whose value is unique in their type, as in the SQL; ``argmax_all_events`` keeps all."""
-    rows = table(spark, sf, "events").filter("value is not null").groupBy("event_type", "value").agg(F.min("event_id").alias("event_id"), F.count("*").alias("n")).filter("n = 1")
-    return rows.groupBy("event_type").agg(F.max_by("event_id", "value").alias("best"), F.min_by("event_id", "value").alias("least"))
-
-
 @query("""SELECT event_type, (array_agg(event_id ORDER BY value DESC, event_id))[1] AS best, (array_agg(event_id ORDER BY value, event_id))[1] AS least
 FROM events WHERE value IS NOT NULL GROUP BY event_type""")
 def argmax_all_events(spark: SparkSession, sf: str) -> DataFrame:
-    """``argmax_by_group`` over every event, repeated values too; the smallest event of the extreme value answers."""
+    """Arg-max and arg-min of every type over every event; the smallest event of the extreme value answers."""
     rows = table(spark, sf, "events").filter("value is not null").groupBy("event_type", "value").agg(F.min("event_id").alias("event_id"))
     return rows.groupBy("event_type").agg(F.max_by("event_id", "value").alias("best"), F.min_by("event_id", "value").alias("least"))
 

@@ -39,17 +39,10 @@ def sign_z(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("a", "b", F.round(z, 9).alias("z"), F.coalesce(F.abs(z) >= 1.96, F.lit(False)).alias("significant"))
 
 
-@query(f"""WITH d AS (SELECT doc_id, {_H.format('m1')} % 3 AS direct, {_H.format('m2')} % 4 AS inverse FROM documents WHERE doc_id % 9 <> 0)
-SELECT count(*) AS cases, count(*) FILTER (direct = inverse) AS hard, count(*) FILTER (direct = 2 AND inverse = 2) AS ties FROM d WHERE inverse < 3""")
-def mirror_consistency(spark: SparkSession, sf: str) -> DataFrame:
-    """Cases seen in both orders; a case with one side dropped (here: verdict 3, or every ninth document) does not count."""
-    return _mirrored(table(spark, sf, "documents").filter("doc_id % 9 <> 0").select("doc_id"))
-
-
 @query(f"""WITH d AS (SELECT doc_id, {_H.format('m1')} % 3 AS direct, {_H.format('m2')} % 4 AS inverse FROM documents)
 SELECT count(*) AS cases, count(*) FILTER (direct = inverse) AS hard, count(*) FILTER (direct = 2 AND inverse = 2) AS ties FROM d WHERE inverse < 3""")
 def mirror_consistency_all(spark: SparkSession, sf: str) -> DataFrame:
-    """``mirror_consistency`` over every document; only a missing side (verdict 3) drops a case."""
+    """Cases seen in both orders; only a missing side (verdict 3) drops a case."""
     return _mirrored(table(spark, sf, "documents").select("doc_id"))
 
 

@@ -158,3 +158,28 @@ def model_replies(rows: DataFrame, key: str, prompt: str, client) -> DataFrame:
 
     flat = rows.select(F.col(key).cast("string").alias("key"), F.col(prompt).alias("prompt"))
     return flat.mapInPandas(run, "key string, reply string, error string").withColumnRenamed("key", key)
+
+
+def result_files(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
+    """One row per JSON file of a glob, beside its path; a file that does not parse has null fields and is kept."""
+    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(pattern)
+    return rows.select(F.col("_metadata.file_path").alias("path"), "*")
+
+
+def first_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The first n lines in file order."""
+    return numbered_lines(spark, path).orderBy("file_rank", "line").limit(n)
+
+
+def at_lines(rows: DataFrame, report: DataFrame) -> DataFrame:
+    """Rows of ``numbered_lines`` that a report names by ``path`` and ``line``, with the report's other columns; a line out of range meets nothing."""
+    return rows.join(report, ["path", "line"])
+
+
+def prompt(folder: str, name: str, lang: str, override: str | None = None) -> str:
+    """Text of a prompt file: the override where given, else the variant of the language, else the file itself; a missing one raises."""
+    root, ending = os.path.splitext(name)
+    local = os.path.join(folder, f"{root}_{lang}{ending}")
+    path = override or (local if lang != "fr" and os.path.exists(local) else os.path.join(folder, name))
+    with open(path, encoding="utf-8") as f:
+        return f.read()

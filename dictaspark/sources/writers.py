@@ -82,3 +82,13 @@ def fetch_once(origin: str, target: str) -> bool:
     shutil.copyfile(origin, f"{target}.part")
     os.replace(f"{target}.part", target)
     return True
+
+
+def two_outputs(rows: DataFrame, first: DataFrame, second: DataFrame, paths: tuple[str, str]) -> None:
+    """Two outputs made from ``rows``, which is read once: it is kept until both are written."""
+    rows.persist()
+    try:
+        jsonl(first, paths[0])
+        jsonl(second, paths[1])
+    finally:
+        rows.unpersist()
