@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dictaspark import lexicons as L
 from dictaspark.functions import text as t
 from dictaspark.operators import dedup, pairs, sample
+from dictaspark.session import checkpoint
 from dictaspark.sources.readers import model_replies
 from dictaspark.streaming.resume import pending
 
@@ -65,6 +66,26 @@ def teach(units: DataFrame, client: Callable, lang: str) -> DataFrame:
     return cleaned.withColumn("rejet", reason)
 
 
+def adjudicate(rejected: DataFrame, client: Callable) -> DataFrame:
+    """``(id, conforme, motif)`` of rejected rows by an arbiter; an answer that fails or does not parse upholds the rejection.
+
+    A motive outside the closed vocabulary counts as ``erreur``.
+    """
+    prompt = F.format_string("RAW:\n%s\n\nCLEAN:\n%s", F.coalesce("dirty", F.lit("")), F.coalesce("clean", F.lit("")))
+    replies = model_replies(rejected.select("id", prompt.alias("prompt")), "id", "prompt", client)
+    parsed = replies.withColumn("r", F.from_json(t.json_salvage(F.col("reply")), "conforme boolean, motif string"))
+    motive = F.lower(F.trim("r.motif"))
+    return parsed.select("id", F.coalesce("r.conforme", F.lit(False)).alias("conforme"), F.when(motive.isin(L.CLOSED["motive"]), motive).otherwise("erreur").alias("motif"))
+
+
+def taught(units: DataFrame, client: Callable, arbiter: Callable, lang: str) -> tuple[DataFrame, DataFrame]:
+    """Kept and recovered rows, and those whose rejection the arbiter upheld with its motive; the phases follow one another, each written before the next."""
+    progress = checkpoint(teach(units, client, lang))
+    verdicts = checkpoint(adjudicate(progress.filter("rejet is not null"), arbiter))
+    confirmed = progress.filter("rejet is not null").join(verdicts.filter("not conforme").select("id", "motif"), "id")
+    return recovered(progress, verdicts), confirmed
+
+
 def recovered(progress: DataFrame, adjudications: DataFrame) -> DataFrame:
     """Kept rows and rejected ones an arbiter found conforming."""
     upheld = adjudications.filter("conforme").select("id")

@@ -65,6 +65,28 @@ def teach(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.teach(units, client, "en").select("id", "clean", "rejet")
 
 
+@query()
+def teach_adjudicated(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows kept, recovered and confirmed bad by language; the stub cleaner repeats long takes, and the stub arbiter forgives what is only longer."""
+    units = pipeline.prepare_units(table(spark, sf, "asr_takes"), table(spark, sf, "qc_verdicts"))
+
+    def cleaner(prompts: list[str]) -> list[str]:
+        return [p if len(p.split()) < 30 else "" if len(p) % 5 == 0 else f"{p} {p}" for p in prompts]
+
+    def arbiter(prompts: list[str]) -> list[str]:
+        blank = [not p.split("CLEAN:")[1].strip() for p in prompts]
+        return ['{"conforme": %s, "motif": "%s"}' % (("false", "suppression") if b else ("true", "aucun")) for b in blank]
+
+    parts = []
+    for lang in ("fr", "en"):
+        kept, bad = pipeline.taught(units.filter(F.col("lang") == lang), cleaner, arbiter, lang)
+        parts += [kept.select("lang", F.when(F.col("rejet").isNull(), "kept").otherwise("recovered").alias("status")), bad.select("lang", F.concat(F.lit("bad: "), "motif").alias("status"))]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.groupBy("lang", "status").agg(F.count("*").alias("n"))
+
+
 @query()
 def dataset_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of the merged dataset: rows kept by id and folded text in order."""

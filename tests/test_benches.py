@@ -73,3 +73,22 @@ def test_steps(spark):
 def test_keeping_families_are_an_argument(spark):
     rows = spark.createDataFrame([("itn-meme_sujet", "itn", "le chat dort sur la table verte", "Le chat dort.")], "file string, source string, dirty string, clean string")
     assert not pairs.validate(rows, "fr").first()["keeping_lost"] and pairs.validate(rows, "fr", ["meme_sujet"]).first()["keeping_lost"]
+
+
+def test_adjudication_recovers_what_the_arbiter_forgives(spark):
+    from dictaspark.operators import pipeline
+
+    control = "[Styling: semi-formal] [Structure: prose] [Context: general] [Lang: en]"
+    units = spark.createDataFrame([("keep", "the red car stops here", control), ("longer", "the red car stops here", control), ("gone", "the red car stops here", control), ("odd", "the red car", control)], "id string, dirty string, control string")
+    clean = {"keep": "The red car stops here.", "longer": "The red car stops here. " * 8, "gone": "", "odd": ""}
+
+    made = units.withColumn("clean", F.create_map(*[F.lit(x) for kv in clean.items() for x in kv])[F.col("id")])
+    reason = pairs.filter_pair(F.col("dirty"), F.col("clean"), F.lit("prose"), F.lit("general"), "en")
+    progress = made.withColumn("rejet", reason)
+
+    def arbiter(prompts):
+        return ["no braces" if "the red car\n" in p else '{"conforme": %s, "motif": "Suppression "}' % ("false" if not p.split("CLEAN:")[1].strip() else "true") for p in prompts]
+
+    verdicts = pipeline.adjudicate(progress.filter("rejet is not null"), arbiter)
+    assert {tuple(r) for r in verdicts.collect()} == {("longer", True, "suppression"), ("gone", False, "suppression"), ("odd", False, "erreur")}
+    assert {r["id"] for r in pipeline.recovered(progress, verdicts).collect()} == {"keep", "longer"}
