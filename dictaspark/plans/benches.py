@@ -85,3 +85,17 @@ def training_steps(spark: SparkSession, sf: str) -> DataFrame:
     """Batches of 16, optimiser steps of four batches over two epochs, and warm-up, for every language's rows."""
     rows = table(spark, sf, "contribs").groupBy("lang").agg(F.count("*").alias("n"))
     return rows.select("n", stats.step_counts(F.col("n"), 16, 4, 2).alias("s")).select("n", "s.*")
+
+
+@query(f"""SELECT row_id, CASE WHEN lower(regexp_extract(clean, '^([^ ]+)', 1)) IN ({q.quoted(L.TOOLS["en"])}) THEN lower(left(clean, 1)) || substr(clean, 2) ELSE clean END AS text FROM contribs""")
+def lower_first_function_word(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "contribs").select("row_id", t.lower_first_function_word(F.col("clean"), L.TOOLS["en"]).alias("text"))
+
+
+@query("""WITH r AS (SELECT id, verdict, CASE upper(trim(verdict)) WHEN 'OK' THEN 'Plutôt SAIN, je crois' WHEN 'KO' THEN 'VÉROLÉ (suspect)' ELSE 'Suspect' END AS reply FROM qc_verdicts)
+SELECT id, CASE WHEN contains(strip_accents(lower(reply)), 'verole') THEN 'verole' WHEN contains(lower(reply), 'suspect') THEN 'suspect' WHEN contains(lower(reply), 'sain') THEN 'sain' END AS word FROM r""")
+def verdict_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The canonical word in a free reply, written here from every verdict."""
+    v = pipeline.verdict(F.col("verdict"))
+    reply = F.when(v == "OK", "Plutôt SAIN, je crois").when(v == "KO", "VÉROLÉ (suspect)").otherwise("Suspect")
+    return table(spark, sf, "qc_verdicts").select("id", t.verdict_word(reply).alias("word"))
