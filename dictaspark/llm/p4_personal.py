@@ -3,11 +3,14 @@
 Method: lexical patterns propose candidate segments (written and spelled-out addresses,
 numbers, streets and names). Whole-span features score every segment; dynamic programming
 over the segments, each of bounded length, picks the best non-overlapping set with its
-types, everything between being plain text of score 0. Weights are trained here by
-gradient ascent on the conditional likelihood (forward and backward over the lattice) of
-a bounded sample: ``SAMPLE_ROWS`` rows labelled by distant rules, and generated sentences.
-Every row and whole texts are decoded. Fillers and stuttered words are skipped by the
-matcher; placeholders replace the original characters.
+types, everything between being plain text of score 0. Weights are the maximum of the
+conditional likelihood (forward and backward over the lattice) of all texts, labelled by
+distant rules, and of generated sentences; the words that count as common are counted over
+all texts too. Segments are proposed once for each text and kept; the likelihood of a text
+is the product over its runs of overlapping segments, so equal runs are counted and the
+slopes of the weights are summed over all partitions, in whole numbers, whose sums do not
+depend on the partitions. Every row and whole texts are decoded. Fillers and stuttered
+words are skipped by the matcher; placeholders replace the original characters.
 
 Defined results: null text stays null and holds nothing; empty text stays empty; very
 long texts are read whole; repeated rows give repeated redactions, and the found table
@@ -16,24 +19,31 @@ has one row for each row id, field and kind; an empty table gives an empty resul
 
 from __future__ import annotations
 
-import math
+import pickle
 import random
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections import Counter, deque
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
+from hashlib import blake2b
 from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dictaspark.llm.sampling import hashed_sample
-from dictaspark.session import ship, spread
+from dictaspark.session import checkpoint, ship, spread
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
-SAMPLE_ROWS = 1500
 GENERATED = 4000
-EPOCHS = 8
+BALANCE = 3000  # all texts together weigh as much as so many beside the generated sentences
+OPEN = 1 << 16  # weights that the features made of any word share by hash
+DECAY = 0.5  # one over the variance of the weights' prior
+STEPS = 60
+UNIT = 1 << 30
+PARTS = 20_000  # of one block of training data
 NO_CASE_DOMAINS = ("example.com", "example.org")
 
 FILLERS = frozenset("um uh er hmm euh bah ben hum".split())
@@ -144,15 +154,15 @@ def _context(before: list[str], after: list[str]) -> list[str]:
     return out
 
 
-def candidates(view: Text, given: frozenset, family: frozenset, common: frozenset) -> list[tuple[int, int, str, list[str]]]:
-    """(start, end, kind, features) in the matcher's characters."""
+def proposals(view: Text, given: frozenset, family: frozenset) -> list[tuple]:
+    """(start, end, kind, features, what the common words have to settle) in the matcher's characters."""
     s, out = view.lower, []
     if "@" in s or "at)" in s or "at]" in s:
         for m in _EMAIL.finditer(s):
             end = m.end()
             domain = re.sub(r" ?[\[(]dot[\])] ?", ".", re.split(r"@|[\[(]at[\])]", m.group())[-1]).replace(" ", "")
             known = domain in NO_CASE_DOMAINS
-            out.append((m.start(), end, "email", ["written", "no case" if known else "open", "tld" if domain.rpartition(".")[2] in TLDS else "odd tld"]))
+            out.append((m.start(), end, "email", ["written", "no case" if known else "open", "tld" if domain.rpartition(".")[2] in TLDS else "odd tld"], None))
     if (" at " in s or " arobase " in s) and (" dot " in s or " point " in s):
         for m in _EMAIL_SAID.finditer(s):
             parts = re.split(r" (?:at|arobase) ", m.group())
@@ -160,7 +170,7 @@ def candidates(view: Text, given: frozenset, family: frozenset, common: frozense
             words = domain.split(".")
             tld = next((k for k in range(len(words) - 1, 0, -1) if words[k] in TLDS), 0)
             known = ".".join(words[: tld + 1]) in NO_CASE_DOMAINS
-            out.append((m.start(), m.end(), "email", ["said", "no case" if known else "open", "tld" if tld else "odd tld"]))
+            out.append((m.start(), m.end(), "email", ["said", "no case" if known else "open", "tld" if tld else "odd tld"], None))
     if _SIX_DIGITS.search(s):
         for shape, pattern in _WRITTEN.items():
             for m in pattern.finditer(s):
@@ -173,7 +183,7 @@ def candidates(view: Text, given: frozenset, family: frozenset, common: frozense
                 base = [f"shape {shape}", f"{shape} {min(digits, 16)}", *_context(before, after), *["glued"] * bool(glued)]
                 base.append("starts " + next(c for c in hit if c.isalnum()))
                 for kind in ("phone", "id_number"):
-                    out.append((m.start(), m.end(), kind, [f"{kind} {x}" for x in base]))
+                    out.append((m.start(), m.end(), kind, [f"{kind} {x}" for x in base], None))
     for m in _SPOKEN.finditer(s) if sum([w in _DIGIT_SET for w in view.bare]) > 5 else ():
         words = re.split(r"[ ,.-]+", m.group())
         n = said_digits(words)
@@ -181,28 +191,22 @@ def candidates(view: Text, given: frozenset, family: frozenset, common: frozense
         first = next((w for w in words if w in DIGIT_EN), "")
         base = ["said", f"said {min(n, 12)}", *_context(before, after), "zero first" if first in ("zero", "oh", "o") else "other first", "letters" if len(words[0]) < 3 and words[0] not in DIGIT_EN else "no letters"]
         for kind in ("phone", "id_number"):
-            out.append((m.start(), m.end(), kind, [f"{kind} {x}" for x in base]))
+            out.append((m.start(), m.end(), kind, [f"{kind} {x}" for x in base], None))
     if "zéro" in view.words:
         for m in _SPOKEN_FR.finditer(s):
             before, after = view.around(m.start(), m.end())
             n = len(re.split(r"[ ,-]+", m.group()))
-            out.append((m.start(), m.end(), "phone", ["phone said fr", f"phone fr {min(n, 12) // 3}", *[f"phone {x}" for x in _context(before, after)]]))
+            out.append((m.start(), m.end(), "phone", ["phone said fr", f"phone fr {min(n, 12) // 3}", *[f"phone {x}" for x in _context(before, after)]], None))
     for pattern, types in ((_STREET_EN, STREET_EN), (_STREET_FR, STREET_FR)):
         if not view.words.isdisjoint(types):
             for m in pattern.finditer(s):
                 end, town = m.end(), m.group("town")
-                if town and town[2:] in common | MIDDLE_STOP:
-                    end -= len(town)
-                words = re.findall(r"(?<!\w)[^\W\d_]+(?:'[^\W\d_]+)?", s[m.start() : end])
-                fr = types is STREET_FR
-                middle = [w for w in words if w not in types and w not in NUMBER_EN and w not in NUMBER_FR and w not in ("and", "flat")]
-                stop = not fr and any(w in MIDDLE_STOP for w in middle)
+                short = end - len(town or "")
+                if town and town[2:] in MIDDLE_STOP:
+                    end, town = short, None
                 before, _ = view.around(m.start(), m.end())
-                kind = next((w for w in words if w in types), "")
-                out.append((m.start(), end, "street_address", [
-                    "fr" if fr else "en", "digits" if m.group()[0].isdigit() or "flat" in words else "said number",
-                    "function word" if stop else "name only", f"type {kind}", "no name" if not middle else "named",
-                    "place before" if before and before[-1] in ("at", "to", "au", "is", "est") else "other before"]))
+                last = ("town", town[2:], short, _street(s[m.start() : short], types, before)) if town else None
+                out.append((m.start(), end, "street_address", _street(s[m.start() : end], types, before), last))
     bare, tokens = view.bare, view.tokens
     for k, word in enumerate(bare):
         is_given = word in given
@@ -211,47 +215,83 @@ def candidates(view: Text, given: frozenset, family: frozenset, common: frozense
             continue
         if is_given and tokens[k][:1] not in "([" and k + 1 < len(bare):
             ends = tokens[k][-1] in ".?!:"
-            out.append(_name(view, k, k + 1, k + 1, "given", ends, given, family, common))
+            out.append(_name(view, k, k + 1, k + 1, "given", ends, given, family, None))
         if is_given and k and tokens[k - 1][-1] not in ".?!:;":
             # the family name first; it counts where no title or given name takes it
-            c = _name(view, k - 1, k, k - 1, "reversed" + (" comma" if tokens[k - 1][-1] == "," else ""), False, given, family, common)
             nxt = bare[k + 1] if k + 1 < len(bare) and tokens[k][-1] not in ".,?!" else ""
-            c[3].append("then common" if nxt in common else "then other")
-            c[3].append(f"then {nxt}" if nxt in common else "then rare")
-            out.append(c)
+            out.append(_name(view, k - 1, k, k - 1, "reversed" + (" comma" if tokens[k - 1][-1] == "," else ""), False, given, family, nxt))
         if titled:
             j = k + 1
             while j < len(bare) and j <= k + 2 and (bare[j] in given or (len(bare[j]) == 1 and bare[j].isalpha())):
                 j += 1
             if j < len(bare):
                 middle = "title given" if j > k + 1 else "title"
-                out.append(_name(view, k, j, j, middle, False, given, family, common))
+                out.append(_name(view, k, j, j, middle, False, given, family, None))
     return [c for c in out if c[0] < c[1]]
 
 
-def _name(view: Text, a: int, b: int, f: int, shape: str, ends: bool, given: frozenset, family: frozenset, common: frozenset) -> tuple[int, int, str, list[str]]:
+def settle(proposed: list[tuple], common: frozenset) -> list[tuple[int, int, str, list[str]]]:
+    """(start, end, kind, features): what depends on the common words is filled in."""
+    out = []
+    for a, b, kind, feats, left in proposed:
+        if left is None:
+            pass
+        elif left[0] == "town":
+            if left[1] in common:
+                b, feats = left[2], left[3]
+        else:
+            _, shape, word, listed, capital, nxt = left
+            known = word in common
+            feats = [*feats, f"{shape} {'listed' if listed else 'common' if known else 'rare'}"]
+            if known:
+                feats.append(f"is {word}")
+            if capital:
+                feats.append("capital" if known else "capital rare")
+            if nxt is not None:
+                feats += ["then common", f"then {nxt}"] if nxt in common else ["then other", "then rare"]
+        out.append((a, b, kind, feats))
+    return out
+
+
+def candidates(view: Text, given: frozenset, family: frozenset, common: frozenset) -> list[tuple[int, int, str, list[str]]]:
+    return settle(proposals(view, given, family), common)
+
+
+def _street(text: str, types: list[str], before: list[str]) -> list[str]:
+    words = re.findall(r"(?<!\w)[^\W\d_]+(?:'[^\W\d_]+)?", text)
+    fr = types is STREET_FR
+    middle = [w for w in words if w not in types and w not in NUMBER_EN and w not in NUMBER_FR and w not in ("and", "flat")]
+    stop = not fr and any(w in MIDDLE_STOP for w in middle)
+    kind = next((w for w in words if w in types), "")
+    return ["fr" if fr else "en", "digits" if text[0].isdigit() or "flat" in words else "said number",
+            "function word" if stop else "name only", f"type {kind}", "no name" if not middle else "named",
+            "place before" if before and before[-1] in ("at", "to", "au", "is", "est") else "other before"]
+
+
+def _name(view: Text, a: int, b: int, f: int, shape: str, ends: bool, given: frozenset, family: frozenset, nxt: str | None) -> tuple:
     word = view.bare[f]
     start = view.starts[a] + (len(view.tokens[a]) - len(view.tokens[a].lstrip(_STRIP)))
     end = view.starts[b] + len(view.tokens[b].rstrip(_STRIP))
     alpha = word.replace("'", "").replace("-", "").isalpha()
-    features = [shape, f"{shape} {'listed' if word in family else 'common' if word in common else 'rare'}", f"ending {word[-3:]}", f"ending {word[-2:]}",
+    features = [shape, f"ending {word[-3:]}", f"ending {word[-2:]}",
                 "given twice" if word in given else "once", "word" if alpha else "no word", "short" if len(word) < 4 else "long"]
     if ends:
         features.append("sentence between")
-    if word in common:
-        features.append(f"is {word}")
-    raw = view.tokens[f]
-    if raw[:1].isupper():
-        features.append("capital rare" if word not in common else "capital")
-    return start, max(start, end), "person_name", features
+    return start, max(start, end), "person_name", features, ("name", shape, word, word in family, view.tokens[f][:1].isupper(), nxt)
+
+
+Weights = dict[int, float]
 
 
-Weights = dict
+@lru_cache(maxsize=1 << 17)
+def key(kind: str, feature: str) -> int:
+    """Number of a weight: one of its own, or one of ``OPEN`` for the features made of any word."""
+    h = int.from_bytes(blake2b(f"{kind} {feature}".encode("utf-8", "replace"), digest_size=8).digest(), "little")
+    return h % OPEN if " before " in feature or feature.startswith("ending ") else OPEN + h % (1 << 62)
 
 
 def score(weights: Weights, kind: str, features: list[str]) -> float:
-    own = weights.get(kind, {})
-    return own.get("", 0.0) + sum([own.get(f, 0.0) for f in features])
+    return weights.get(key(kind, ""), 0.0) + sum([weights.get(key(kind, f), 0.0) for f in features])
 
 
 def decode(segments: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str]]:
@@ -276,8 +316,8 @@ def decode(segments: list[tuple[int, int, str, float]]) -> list[tuple[int, int,
     return out[::-1]
 
 
-def _marginals(segments: list[tuple[int, int, float]]) -> list[float]:
-    """Probability of each segment under the lattice, by forward and backward sums."""
+def _lattice(segments: list[tuple]) -> tuple[list, object]:
+    """Probability of each segment and the log of the total, by forward and backward sums; scores are numbers or arrays of many alike lattices."""
     points = sorted({p for a, b, _ in segments for p in (a, b)})
     at = {p: k for k, p in enumerate(points)}
     into: list[list[int]] = [[] for _ in points]
@@ -285,49 +325,122 @@ def _marginals(segments: list[tuple[int, int, float]]) -> list[float]:
     for i, (a, b, _) in enumerate(segments):
         into[at[b]].append(i)
         outof[at[a]].append(i)
-
-    def add(x: float, y: float) -> float:
-        return max(x, y) + math.log1p(math.exp(-abs(x - y)))
-
-    forward = [0.0] * len(points)
+    forward: list = [0.0] * len(points)
     for k in range(len(points)):
         total = forward[k - 1] if k else 0.0
         for i in into[k]:
-            total = add(total, forward[at[segments[i][0]]] + segments[i][2])
+            total = np.logaddexp(total, forward[at[segments[i][0]]] + segments[i][2])
         forward[k] = total
-    backward = [0.0] * len(points)
+    backward: list = [0.0] * len(points)
     for k in range(len(points) - 1, -1, -1):
         total = backward[k + 1] if k + 1 < len(points) else 0.0
         for i in outof[k]:
-            total = add(total, backward[at[segments[i][1]]] + segments[i][2])
+            total = np.logaddexp(total, backward[at[segments[i][1]]] + segments[i][2])
         backward[k] = total
     z = forward[-1]
-    return [math.exp(min(0.0, forward[at[a]] + s + backward[at[b]] - z)) for a, b, s in segments]
-
-
-def train(examples: list[list[tuple[int, int, str, list[str], bool]]], epochs: int = EPOCHS, rate: float = 0.4, decay: float = 1e-4) -> Weights:
-    """Weights by adaptive stochastic gradient ascent on the conditional likelihood; deterministic."""
-    weights: Weights = {kind: {"": -1.0} for kind in KINDS}
-    mass: Weights = {kind: {} for kind in KINDS}
-    order = list(range(len(examples)))
-    rng = random.Random(11)
-    for _ in range(epochs):
-        rng.shuffle(order)
-        for k in order:
-            segments = examples[k]
-            scores = [(a, b, score(weights, kind, feats)) for a, b, kind, feats, _ in segments]
-            for (_, _, kind, feats, gold), p in zip(segments, _marginals(scores)):
-                slope = (1.0 if gold else 0.0) - p
-                if abs(slope) > 1e-4:
-                    own, seen = weights[kind], mass[kind]
-                    for f in ("", *feats):
-                        old = own.get(f, 0.0)
-                        seen[f] = seen.get(f, 0.01) + slope * slope
-                        own[f] = old + rate * (slope - decay * old) / math.sqrt(seen[f])
-    return weights
-
-
-def _label(view: Text, found: list[tuple[int, int, str, list[str]]]) -> list[tuple[int, int, str, list[str], bool]] | None:
+    return [np.exp(np.minimum(0.0, forward[at[a]] + s + backward[at[b]] - z)) for a, b, s in segments], z
+
+
+def _marginals(segments: list[tuple[int, int, float]]) -> list[float]:
+    """Probability of each segment under the lattice."""
+    return _lattice(segments)[0]
+
+
+def _tally(parts: Counter, segments: list[tuple] | None) -> int:
+    """Counts the runs of overlapping segments: (places in order, which are cases, numbers of the features)."""
+    runs: list[list[tuple]] = []
+    reach = 0
+    for x in sorted(segments or (), key=lambda x: x[:2]):
+        if runs and x[0] < reach:
+            runs[-1].append(x)
+            reach = max(reach, x[1])
+        else:
+            runs.append([x])
+            reach = x[1]
+    for run in runs:
+        at = {p: k for k, p in enumerate(sorted({p for x in run for p in x[:2]}))}
+        parts[tuple([(at[x[0]], at[x[1]]) for x in run]), tuple([x[4] for x in run]), tuple([tuple([key(x[2], f) for f in ("", *x[3])]) for x in run])] += 1
+    return len(runs)
+
+
+def _block(parts: Counter) -> tuple[np.ndarray, list[tuple]]:
+    """The weights in use, and for each shape of run the counts, cases, numbers of features and features, as positions among these weights."""
+    keys = sorted({f for _, _, runs in parts for feats in runs for f in feats})
+    at = {f: k for k, f in enumerate(keys)}
+    by: dict[tuple, list] = {}
+    for (shape, gold, runs), n in parts.items():
+        by.setdefault(shape, []).append((n, gold, runs))
+    return np.array(keys, np.int64), [
+        (shape, np.array([n for n, _, _ in own]), np.array([gold for _, gold, _ in own]), np.array([len(x) for _, _, runs in own for x in runs]),
+         np.array([at[f] for _, _, runs in own for x in runs for f in x], np.int32)) for shape, own in by.items()]
+
+
+def _slopes(weights: np.ndarray, block: list[tuple]) -> tuple[np.ndarray, int]:
+    """Slope of the log likelihood by weight, and the log likelihood, in UNITs."""
+    slope, value = np.zeros(len(weights), np.int64), 0
+    for shape, counts, gold, lengths, flat in block:
+        s = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights[flat], len(lengths)).reshape(gold.shape)
+        probs, z = _lattice([(a, b, s[:, k]) for k, (a, b) in enumerate(shape)])
+        off = np.rint((gold - np.stack(probs, 1)) * UNIT).astype(np.int64) * counts[:, None]
+        slope += np.bincount(flat, np.repeat(off.ravel(), lengths), len(weights)).astype(np.int64)
+        value += int((np.rint(((s * gold).sum(1) - z) * UNIT).astype(np.int64) * counts).sum())
+    return slope, value
+
+
+def _ascend(measure: Callable, at: np.ndarray) -> np.ndarray:
+    """Where a concave value is greatest: limited-memory BFGS, steps halved until they rise."""
+    past: deque = deque(maxlen=10)
+    value, slope = measure(at)
+    for _ in range(STEPS):
+        if np.abs(slope).max() < 0.02:
+            break
+        way, back = slope.copy(), []
+        for s, y in reversed(past):
+            back.append(s @ way / (s @ y))
+            way -= back[-1] * y
+        way *= past[-1][0] @ past[-1][1] / (past[-1][1] @ past[-1][1]) if past else 1 / np.linalg.norm(slope)
+        for (s, y), a in zip(past, reversed(back)):
+            way += s * (a - y @ way / (s @ y))
+        size = 1.0
+        while True:
+            new_value, new_slope = measure(at + size * way)
+            if new_value >= value + 1e-4 * size * (slope @ way):
+                break
+            size /= 2
+            if size < 1e-6:
+                return at
+        s, y = size * way, slope - new_slope
+        if s @ y > 0:
+            past.append((s, y))
+        at, value, slope = at + s, new_value, new_slope
+    return at
+
+
+def train(shown: Counter, keys: Iterable[int], slopes: Callable, share: float) -> Weights:
+    """Weights of the greatest likelihood under a normal prior.
+
+    ``shown`` are the runs of the generated sentences; ``keys`` are the weights that the texts use,
+    ``slopes`` sums their slopes for (keys, weights), each text counting as ``share``.
+    """
+    first = np.array([key(kind, "") for kind in KINDS], np.int64)
+    own, block = _block(shown)
+    keys = np.union1d(np.union1d(own, first), np.array(sorted(keys), np.int64))
+    at = np.searchsorted(keys, own)
+    start = np.zeros(len(keys))
+    start[np.searchsorted(keys, first)] = -1.0
+
+    def measure(weights: np.ndarray) -> tuple[float, np.ndarray]:
+        slope, value = slopes(keys, weights)
+        more, also = _slopes(weights[at], block)
+        slope = share * slope
+        slope[at] += more
+        off = weights - start
+        return (share * value + also) / UNIT - DECAY / 2 * (off @ off), slope / UNIT - DECAY * off
+
+    return dict(zip(keys.tolist(), _ascend(measure, start).tolist()))
+
+
+def _label(found: list[tuple[int, int, str, list[str]]]) -> list[tuple[int, int, str, list[str], bool]] | None:
     """Distant labels: strict shapes and listed names are cases, known words are none, the unsure are left out."""
     out: list = []
     for a, b, kind, feats in found:
@@ -422,32 +535,46 @@ def _sentences(given: list[str], family: list[str], n: int) -> list[tuple[str, s
     return out
 
 
-def fit(texts: list[str], given: frozenset, family: frozenset) -> tuple[Weights, frozenset]:
-    """Weights and the sample's common words, from at most ``2 * SAMPLE_ROWS`` texts."""
-    views = [Text(t) for t in texts]
-    seen: dict[str, int] = {}
-    for view in views:
-        for w in set(view.bare):
-            seen[w] = seen.get(w, 0) + 1
-    least = max(3, len(views) // 200)
-    common = frozenset(w for w, n in seen.items() if n >= least and w not in given and w not in family)
-    examples = [x for v in views if (x := _label(v, candidates(v, given, family, common)))]
+def _common(counts: dict[str, int], n: int, given: frozenset, family: frozenset) -> frozenset:
+    """Words of at least 1/200 of the texts, so fewer than 200 times the words of a text; names are none."""
+    least = max(3, n // 200)
+    return frozenset(w for w, k in counts.items() if k >= least and w not in given and w not in family)
+
+
+def _shown(given: frozenset, family: frozenset, common: frozenset) -> Counter:
+    """Runs of the generated sentences."""
+    parts: Counter = Counter()
     # half of the list is hidden from the generated sentences, so that unlisted names are learned too
     shown, rng = frozenset(sorted(family)[::2]), random.Random(2)
     for text, case in _sentences(sorted(given), sorted(family), GENERATED):
         view = Text(text)
         spot = view.lower.find(case) if case else -1
         inside = lambda x: case is not None and x[0] < spot + len(case) and spot < x[1]  # noqa: B023, E731
-        labelled = _label(view, candidates(view, given, family, common)) or []
-        labelled = [(*x[:4], x[4] and inside(x)) for x in labelled]
-        gold = {x[:3] for x in labelled if x[4]}
+        found = candidates(view, given, family, common)
+        # two patterns may propose the same span; the labelled one alone is the case, as a path holds one
+        gold = {id(x[3]) for x in _label(found) or () if x[4] and inside(x)}
         # every other sentence is shown without its context words, so that shapes carry the weight
         bare = rng.random() < 0.5
-        found = [(a, b, kind, [f for f in feats if not bare or " before " not in f]) for a, b, kind, feats in candidates(view, given, shown, common)]
-        labelled = [(*x, x[:3] in gold) for x in found]
-        if labelled:
-            examples.append(labelled)
-    return train(examples), common
+        _tally(parts, [(a, b, kind, [f for f in feats if not bare or " before " not in f], id(x[3]) in gold)
+                       for x, (a, b, kind, feats) in zip(found, candidates(view, given, shown, common))])
+    return parts
+
+
+def fit(texts: list[str], given: frozenset, family: frozenset) -> tuple[Weights, frozenset]:
+    """Weights and common words of texts in memory; ``model_of`` has the same of a table."""
+    views = [Text(t) for t in texts]
+    common = _common(Counter(w for view in views for w in view.words), len(views), given, family)
+    parts: Counter = Counter()
+    for view in views:
+        _tally(parts, _label(candidates(view, given, family, common)))
+    own, block = _block(parts)
+
+    def slopes(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, int]:
+        slope, at = np.zeros(len(keys), np.int64), np.searchsorted(keys, own)
+        slope[at], value = _slopes(weights[at], block)
+        return slope, value
+
+    return train(_shown(given, family, common), own.tolist(), slopes, min(1.0, BALANCE / max(1, len(views)))), common
 
 
 def find(text: str | None, model: tuple) -> list[tuple[int, int, str]]:
@@ -482,28 +609,122 @@ def _worker(model: tuple):
     return run
 
 
-def _finder(model: tuple):
+_READ = "row_id bigint, field string, proposed binary, word string, n bigint"
+_TEXTS = " "  # no word; its count is that of the texts
+
+
+def _reader(given: frozenset, family: frozenset):
+    """Proposed segments of every text that has some, and in how many texts each word occurs."""
+    columns = ["row_id", "field", "proposed", "word", "n"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
         for pdf in batches:
             out = []
             for row_id, dirty, clean in zip(pdf["row_id"], pdf["dirty"], pdf["clean"]):
                 for field, text in (("dirty", dirty), ("clean", clean)):
-                    out += [(row_id, field, kind) for kind in {k for *_, k in find(text, model)}]
+                    if text:
+                        view = Text(text)
+                        seen.update(view.words)
+                        seen[_TEXTS] += 1
+                        if proposed := proposals(view, given, family):
+                            out.append((row_id, field, pickle.dumps(proposed), None, 0))
+            yield pd.DataFrame(out, columns=columns)
+            if len(seen) > 50_000:
+                yield pd.DataFrame([(0, None, None, *x) for x in seen.items()], columns=columns)
+                seen.clear()
+        yield pd.DataFrame([(0, None, None, *x) for x in seen.items()], columns=columns)
+
+    return run
+
+
+def _blocks(common: frozenset):
+    """Labelled runs of all texts, equal ones counted, in blocks."""
+
+    def frame(parts: Counter) -> pd.DataFrame:
+        keys, block = _block(parts)
+        return pd.DataFrame({"keys": [keys], "block": [pickle.dumps(block)]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, n = Counter(), 0
+        for pdf in batches:
+            for proposed in pdf["proposed"]:
+                n += _tally(parts, _label(settle(pickle.loads(proposed), common)))
+                if len(parts) >= PARTS or n >= 50 * PARTS:
+                    yield frame(parts)
+                    parts, n = Counter(), 0
+        if parts:
+            yield frame(parts)
+
+    return run
+
+
+def _summer(keys: np.ndarray, weights: np.ndarray):
+    """A partition's slopes by position among the weights, and its log likelihood at -1."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slope, value = np.zeros(len(keys), np.int64), 0
+        for pdf in batches:
+            for own, block in zip(pdf["keys"], pdf["block"]):
+                at = np.searchsorted(keys, own)
+                more, also = _slopes(weights[at], pickle.loads(block))
+                slope[at] += more
+                value += also
+        hit = np.flatnonzero(slope)
+        yield pd.DataFrame({"at": np.append(hit, -1), "slope": np.append(slope[hit], value)})
+
+    return run
+
+
+def _finder(model: tuple):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights, common, *_ = model
+        for pdf in batches:
+            out = []
+            for row_id, field, proposed in zip(pdf["row_id"], pdf["field"], pdf["proposed"]):
+                segments = [(a, b, kind, score(weights, kind, feats)) for a, b, kind, feats in settle(pickle.loads(proposed), common)]
+                out += [(row_id, field, kind) for kind in {k for *_, k in decode(segments)}]
             yield pd.DataFrame(out, columns=["row_id", "field", "kind"])
 
     return run
 
 
-def model_of(rows: DataFrame, names: DataFrame, row_id: str = "row_id") -> tuple:
-    """The fitted model: sampled texts, at most SAMPLE_ROWS rows, and the name list, which is a configuration table, reach the driver."""
+def _lists(names: DataFrame) -> tuple[frozenset, frozenset]:
+    """Given and family names; the list is a configuration table."""
     listed = names.select(F.lower(F.trim("entry")).alias("entry"), F.lower(F.trim("kind")).alias("kind")).distinct().collect()
-    given = frozenset(r["entry"].replace("’", "'") for r in listed if r["entry"] and r["kind"] == "given")
-    family = frozenset(r["entry"].replace("’", "'") for r in listed if r["entry"] and r["kind"] == "family")
-    # the first rows by hash of their contents, whatever the partitions
-    drawn = hashed_sample(rows.select(F.col(row_id).alias("row_id"), "dirty", "clean"), ["row_id", "dirty", "clean"], SAMPLE_ROWS)
-    texts = [t for r in drawn.select("dirty", "clean").collect() for t in r if t]
-    weights, common = fit(sorted(texts), given, family)
-    return weights, common, given, family
+    return tuple(frozenset(r["entry"].replace("’", "'") for r in listed if r["entry"] and r["kind"] == kind) for kind in ("given", "family"))
+
+
+def _read(rows: DataFrame, given: frozenset, family: frozenset, row_id: str = "row_id") -> DataFrame:
+    """Every text is read once; what is proposed in it is kept for training and decoding."""
+    return checkpoint(spread(rows.select(F.col(row_id).alias("row_id"), "dirty", "clean")).mapInPandas(_reader(given, family), _READ))
+
+
+def _model(read: DataFrame, given: frozenset, family: frozenset) -> tuple:
+    """The model fitted to all texts; common words and slopes, as many as there are weights, reach the driver."""
+    counts = read.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
+    n = counts.filter(F.col("word") == _TEXTS).agg(F.max("n")).first()[0] or 0
+    often = counts.filter((F.col("n") >= max(3, n // 200)) & (F.col("word") != _TEXTS)).collect()
+    common = _common({r["word"]: r["n"] for r in often}, n, given, family)
+    blocks = checkpoint(read.filter("proposed is not null").select("proposed").mapInPandas(_blocks(common), "keys array<bigint>, block binary"))
+    used = [r[0] for r in blocks.select(F.explode("keys")).distinct().collect()]
+
+    def slopes(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, int]:
+        slope, value = np.zeros(len(keys), np.int64), 0
+        for at, x in blocks.mapInPandas(_summer(keys, weights), "at bigint, slope bigint").groupBy("at").agg(F.sum("slope")).collect():
+            if at < 0:
+                value = x
+            else:
+                slope[at] = x
+        return slope, value
+
+    return train(_shown(given, family, common), used, slopes, min(1.0, BALANCE / max(1, n))), common, given, family
+
+
+def model_of(rows: DataFrame, names: DataFrame, row_id: str = "row_id") -> tuple:
+    """(weights, common words, given names, family names) of all rows."""
+    given, family = _lists(names)
+    return _model(_read(rows, given, family, row_id), given, family)
 
 
 def redacted(rows: DataFrame, names: DataFrame) -> DataFrame:
@@ -517,5 +738,7 @@ def redacted(rows: DataFrame, names: DataFrame) -> DataFrame:
 def found(rows: DataFrame, names: DataFrame) -> DataFrame:
     """One row for each row, field and kind that occurs in it."""
     ship(rows.sparkSession)
-    model = model_of(rows, names)
-    return spread(rows.select("row_id", "dirty", "clean")).mapInPandas(_finder(model), "row_id bigint, field string, kind string").distinct()
+    given, family = _lists(names)
+    read = _read(rows, given, family)
+    model = _model(read, given, family)
+    return read.filter("proposed is not null").select("row_id", "field", "proposed").mapInPandas(_finder(model), "row_id bigint, field string, kind string").distinct()

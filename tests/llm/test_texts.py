@@ -128,6 +128,43 @@ def test_personal_rows(spark, sf):
     assert p4.found(odd, names.limit(0)).count() == 0
 
 
+def test_the_model_is_that_of_all_texts(spark):
+    """Words are counted, and weights fitted, over every row: the same as in memory, whatever the partitions."""
+    rng = random.Random(4)
+    people = ["alice martin", "nora lebrun", "hugo tinderby", "marc ate soup", "lebrun, nora", "alice perlowe"]
+    rows = [(k, f"um the note w{k % 199} was for {rng.choice(people)} at {rng.randrange(99)} mill lane v{k % 101}", None if k % 3 else f"serial {rng.randrange(10**9, 10**10)} or +44 2079 46010{k % 10}") for k in range(2400)]
+    df = spark.createDataFrame(rows, "row_id bigint, dirty string, clean string")
+    listed = [("alice", "given"), ("nora", "given"), ("hugo", "given"), ("marc", "given"), ("martin", "family"), ("lebrun", "family"), ("tinderby", "family")]
+    names = spark.createDataFrame(listed, "entry string, kind string")
+    texts = [t for r in rows for t in r[1:] if t]
+    given, family = (frozenset(e for e, kind in listed if kind == k) for k in ("given", "family"))
+    weights, common = p4.fit(texts, given, family)
+    least = len(texts) // 200
+    often = {f"w{k}" for k in range(199) if sum(r[0] % 199 == k for r in rows) >= least} | {f"v{k}" for k in range(101) if sum(r[0] % 101 == k for r in rows) >= least}
+    assert often and {w for w in common if w[0] in "wv" and w[1:].isdigit()} == often
+    for parts in (3, 7):
+        got = p4.model_of(df.repartition(parts), names)
+        assert got[1:] == (common, given, family)
+        assert got[0].keys() == weights.keys() and max(abs(got[0][k] - w) for k, w in weights.items()) < 1e-6
+
+
+def test_a_text_is_the_product_of_its_runs():
+    rng = random.Random(6)
+    for _ in range(30):
+        segs = [(a := rng.randrange(30), a + rng.randrange(1, 5), "phone", [f"x{k}"], False) for k in range(8)]
+        parts = p4.Counter()
+        assert p4._tally(parts, segs) == parts.total()
+        keys, block = p4._block(parts)
+        weights = np.array([rng.uniform(-1, 1) for _ in keys])
+        at = dict(zip(keys.tolist(), weights))
+        scores = [(a, b, at[p4.key("phone", "")] + at[p4.key("phone", f[0])]) for a, b, _, f, _ in segs]
+        probs, z = p4._lattice(scores)
+        slope, value = p4._slopes(weights, block)
+        assert abs(value / p4.UNIT + z) < 1e-6
+        want = {p4.key("phone", f"x{k}"): -p for k, p in enumerate(probs)} | {p4.key("phone", ""): -sum(probs)}
+        assert all(abs(want[k] - g / p4.UNIT) < 1e-6 for k, g in zip(keys.tolist(), slope))
+
+
 # --- pair defects
 
 
